@@ -34,7 +34,7 @@ DEPTH = 2
 P_MIN, E_MIN, V_MIN = 2e-5, 1e-6, 1e-6
 DISCOUNT, DIVERGENCE = 0.75, 4.0
 END = b"\n"  # no word holds a line break
-CACHE_WORDS, COUNTER_WORDS, TOKENS_AT_ONCE = 1_000_000, 400_000, 1_500_000
+CACHE_WORDS, COUNTER_WORDS, TOKENS_AT_ONCE = 400_000, 400_000, 800_000
 _TOP = -(1 << 63)
 
 
