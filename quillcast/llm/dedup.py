@@ -8,9 +8,9 @@ count of leading zeros (6 bits) and ``MANTISSA`` further bits. Bands of ``ROWS``
 1. Texts with equal sets form a class; all later steps handle classes.
 2. In each band key the smallest class is the hub; (hub, member) pairs are candidates.
 3. Candidates whose collision-corrected estimate is near the threshold or above are compared on their whole sets.
-4. Confirmed links give components. Members left outside their hub's component are paired with all members of the
-   key that are still in other components, and steps 3 and 4 repeat. After that every pair of a key has been
-   compared or is connected already, though never listed within a tight group.
+4. Confirmed links give components. Members outside the component that is most frequent in their key are compared with
+   its best linked class; those still outside, with every member of it and with each other. After that every pair of
+   a key has been compared or is connected already, though never listed within a tight group.
 
 At J = 0.8 a pair shares no band with probability (1 - 0.8**8)**48 = 1.4e-4; above, less.
 
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ COLLISION = 0.169919487159739
 #: A list of ids up to this long is broadcast (8 bytes each); longer ones are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
 CACHE_WORDS = 400_000
+#: Sizes of the blocks that are compared in one task.
+BLOCK_LEFT, BLOCK_RIGHT, BLOCK_SHINGLES, BUNDLE_ROWS = 128, 512, 400_000, 1500
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SEEDS = np.random.default_rng(20240601).integers(1, 1 << 63, size=(2, REGISTERS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -163,13 +166,26 @@ def _confirmed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> I
             if hub != last:
                 last, last_set = hub, shingle_set(batch.column(2)[i].as_py(), width, hashes)
             other = shingle_set(batch.column(3)[i].as_py(), width, hashes)
-            both = np.concatenate([last_set, other])
-            both.sort()
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * shared >= percent * (len(both) - shared))
+            keep.append(_similar(last_set, other, percent))
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _texts(named: DataFrame, reps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(cid, text) of the classes named, written to the shared folder."""
+    wanted = materialize(named.join(reps.select("cid", "doc_id"), "cid"), "wanted")
+    few = wanted.count() <= MAX_BROADCAST_IDS
+    texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id")
+    texts = texts.mapInArrow(partial(_only_class, width=width), "cid long, text binary")
+    return materialize(texts, "texts")
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b: classes) whose sets are similar enough, written to the shared folder."""
     side = reps.select("cid", "regs", "n")
@@ -181,11 +197,7 @@ def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
     )
     near = materialize(near, "near")
     named = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
-    wanted = materialize(named.join(reps.select("cid", "doc_id"), "cid"), "wanted")
-    few = wanted.count() <= MAX_BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id")
-    texts = texts.mapInArrow(partial(_only_class, width=width), "cid long, text binary")
-    texts = materialize(texts, "texts")
+    texts = _texts(named, reps, docs, width)
     left, right = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
     both = near.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
     return materialize(both.mapInArrow(partial(_confirmed, width=width, percent=percent), "a long, b long"), "links")
@@ -200,6 +212,124 @@ def _only_class(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([cid, texts], ["cid", "text"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _placed(df: DataFrame, comp: DataFrame, node: str, name: str) -> DataFrame:
+    """Add each node's component (itself, where it has no link)."""
+    c = comp.select(F.col("node").alias(node), F.col("comp").alias("c"))
+    return df.join(c, node, "left").withColumn(name, F.coalesce("c", node)).drop("c")
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _homes(at: DataFrame) -> DataFrame:
+    """For each key with several components: the one with most members there, and how many."""
+    sizes = at.groupBy("key", "own").agg(F.count(F.lit(1)).alias("k"))
+    homes = sizes.groupBy("key").agg(F.max(F.struct("k", "own")).alias("m"), F.count(F.lit(1)).alias("comps"))
+    return homes.filter("comps > 1").select("key", F.col("m.own").alias("home"), F.col("m.k").alias("home_k"))
+
+
+def _through_centres(rows: DataFrame, links: DataFrame, tried: DataFrame, reps: DataFrame, slim: DataFrame, width: int, percent: int):
+    """Pair members outside their key's main component with that component's best linked class."""
+    comp = materialize(components(links), "components")
+    degrees = _both_ways(links).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("d"))
+    centres = comp.join(degrees, "node").groupBy("comp").agg(F.max(F.struct("d", "node")).alias("m")).select(F.col("comp").alias("home"), F.col("m.node").alias("centre"))
+    at = _placed(rows.select("key", "cid"), comp, "cid", "own")
+    out = at.join(_homes(at), "key").filter("own <> home").select("cid", "home").distinct()
+    pairs = out.join(centres, "home").select(F.col("centre").alias("a"), F.col("cid").alias("b"))
+    pairs = materialize(pairs.distinct().join(_both_ways(tried), ["a", "b"], "left_anti"), "centres")
+    more = _links(pairs, reps, slim, width, percent)
+    links = links.union(more)
+    return links, materialize(components(links), "components")
+
+
+def _left_over(rows: DataFrame, comp: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among all pairs that share a key and are not connected yet.
+
+    A member outside its key's main component meets that component either once, through the component's list of
+    members, or key by key, whichever is fewer rows; members outside meet each other key by key. Both sides of a meeting are cut
+    into blocks of bounded size, each pair of blocks is compared in one task, and only links leave it.
+    """
+    at = materialize(_placed(rows.select("key", "cid", "n"), comp, "cid", "own"), "places")
+    homes = materialize(_homes(at), "homes")
+    strays = at.join(homes, "key").filter("own <> home")
+    strays = materialize(strays, "strays")
+    members = at.select("cid", "n", "own").distinct()
+    sizes = members.groupBy(F.col("own").alias("home")).agg(F.count(F.lit(1)).alias("size"))
+    meetings = strays.groupBy("cid", "home").agg(F.sum("home_k").alias("by_key")).join(sizes, "home")
+    meetings = materialize(meetings.withColumn("listed", F.col("size") <= F.col("by_key")), "meetings")
+    what = ["kind", "g", "cid", "n", "own"]
+    marked = strays.join(meetings.select("cid", "home", "listed"), ["cid", "home"])
+    left = (
+        marked.filter("listed").select(F.lit(0).alias("kind"), F.col("home").alias("g"), "cid", "n", "own").distinct()
+        .union(marked.filter("not listed").select(F.lit(1).alias("kind"), F.col("key").alias("g"), "cid", "n", "own"))
+        .union(strays.select(F.lit(2).alias("kind"), F.col("key").alias("g"), "cid", "n", "own"))
+    )
+    main = at.join(homes, "key").filter("own = home")
+    right = (
+        members.join(meetings.filter("listed").select(F.col("home").alias("own")).distinct(), "own").select(F.lit(0).alias("kind"), F.col("own").alias("g"), "cid", "n", "own")
+        .union(main.join(marked.filter("not listed").select("key").distinct(), "key").select(F.lit(1).alias("kind"), F.col("key").alias("g"), "cid", "n", "own"))
+        .union(strays.select(F.lit(2).alias("kind"), F.col("key").alias("g"), "cid", "n", "own"))
+    )
+    left, right = materialize(left.select(*what), "left"), materialize(right.select(*what), "right")
+    texts = _texts(left.select("cid").union(right.select("cid")).distinct(), reps, docs, width)
+    held = texts.join(reps.select("cid", "regs"), "cid")
+
+    def blocks(df: DataFrame, rows_at_once: int, cut: str) -> DataFrame:
+        cuts = F.greatest(F.ceil(F.count(F.lit(1)) / rows_at_once), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+        return df.groupBy("kind", "g").agg(cuts.alias(cut), F.sum("n").alias(f"{cut}_n"), F.count(F.lit(1)).alias(f"{cut}_rows"))
+
+    cuts = materialize(blocks(left, BLOCK_LEFT, "cl").join(blocks(right, BLOCK_RIGHT, "cr"), ["kind", "g"]), "cuts")
+    small = cuts.filter("cl * cr = 1").agg(F.sum(F.col("cl_rows") + F.col("cr_rows")).alias("rows"), F.sum(F.col("cl_n") + F.col("cr_n")).alias("n")).first()
+    bundles = max(1, (small["rows"] or 0) // BUNDLE_ROWS, (small["n"] or 0) // BLOCK_SHINGLES)
+    # meetings of one block each are bundled by hash, so that a task is never for a handful of rows
+    task = F.when(F.col("cl") * F.col("cr") == 1, F.pmod(F.xxhash64("kind", "g"), F.lit(bundles))).otherwise(F.xxhash64("kind", "g", "bl", "br"))
+
+    def dealt(df: DataFrame, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
+        placed = df.join(cuts.select("kind", "g", "cl", "cr"), ["kind", "g"]).withColumn(own_block, F.pmod(F.xxhash64("cid"), F.col(own)).cast("int"))
+        spread = placed.withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return spread.join(held, "cid").select(task.alias("task"), "kind", "g", "bl", "br", "cid", "n", "own", "regs", "text")
+
+    one, two = dealt(left, "cl", "cr", "bl", "br"), dealt(right, "cr", "cl", "br", "bl")
+    two = two.select(F.col("task").alias("r_task"), *[F.col(c).alias(c) for c in two.columns if c != "task"])
+    found = one.groupBy("task").cogroup(two.groupBy("r_task")).applyInPandas(partial(_meet, width=width, percent=percent), "a long, b long")
+    return materialize(found.distinct(), "links")
+
+
+def _meet(left: pd.DataFrame, right: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    """Links between blocks: by estimate first, then on whole sets; one link to a component is enough."""
+    out: list[tuple[int, int]] = []
+    keys, hashes, sets = ["kind", "g", "bl", "br"], WordHashes(), {}
+
+    def whole(cid: int, text: bytes) -> np.ndarray:
+        if cid not in sets:
+            sets[cid] = shingle_set(text, width, hashes)
+        return sets[cid]
+
+    if len(left) and len(right):
+        regs = np.frombuffer(b"".join(right["regs"]), np.uint16).reshape(-1, REGISTERS)
+        n, own, cid, texts = right["n"].to_numpy(float), right["own"].to_numpy(), right["cid"].to_numpy(), right["text"].to_numpy()
+        at = right.groupby(keys).indices
+        for row in left.itertuples():
+            i = at.get((row.kind, row.g, row.bl, row.br))
+            if i is None:
+                continue
+            i = i[(own[i] != row.own) & (100 * np.minimum(n[i], row.n) >= percent * np.maximum(n[i], row.n))]
+            if row.kind == 2:
+                i = i[cid[i] > row.cid]
+            if not len(i):
+                continue
+            ratio = row.n / n[i]
+            chance = COLLISION * 2.0**-MANTISSA * 4 * ratio / (1 + ratio) ** 2
+            agree = (regs[i] == np.frombuffer(row.regs, np.uint16)).mean(axis=1)
+            met = set()
+            for j in i[(agree - chance) / (1 - chance) >= percent / 100 - MARGIN]:
+                if own[j] not in met and _similar(whole(row.cid, row.text), whole(cid[j], texts[j]), percent):
+                    out.append((row.cid, cid[j]))
+                    met.add(own[j])
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id and row for every row of ``docs``."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
@@ -215,27 +345,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     fits = (100 * F.least("na", "n") >= percent * F.greatest("na", "n")) & (F.col("a") != F.col("b"))
     hubs = reps.select(F.col("cid").alias("hub"), F.col("n").alias("na"))
     stars = rows.select("hub", "cid", "n").distinct().filter("hub <> cid").join(hubs, "hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "na", "n")
-    links = _links(stars.filter(fits).select("a", "b"), reps, slim, width, percent)
-    comp = materialize(components(links), "components")
-
-    def placed(df: DataFrame, node: str, name: str) -> DataFrame:
-        c = comp.select(F.col("node").alias(node), F.col("comp").alias("c"))
-        return df.join(c, node, "left").withColumn(name, F.coalesce("c", node)).drop("c")
-
-    at = placed(placed(rows, "cid", "own"), "hub", "hubs")
-    at = materialize(at.select("key", "cid", "n", "own", "hubs", "hub"), "places")
-    strays = at.filter("own <> hubs").select("key", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("own").alias("ca"), "hubs")
-    # a pair of two strays is listed from its smaller side only; hubs have met every member
-    rest = (
-        strays.join(at.select("key", F.col("cid").alias("b"), "n", F.col("own").alias("cb"), "hub"), "key")
-        .filter(fits & (F.col("ca") != F.col("cb")) & (F.col("b") != F.col("hub")) & ((F.col("cb") == F.col("hubs")) | (F.col("a") < F.col("b"))))
-        .select("a", "b")
-        .distinct()
-    )
-    more = _links(rest, reps, slim, width, percent)
+    tried = materialize(stars.filter(fits).select("a", "b"), "stars")
+    links = _links(tried, reps, slim, width, percent)
+    links, comp = _through_centres(rows, links, tried, reps, slim, width, percent)
+    more = _left_over(rows, comp, reps, slim, width, percent)
     if not more.isEmpty():
         comp = materialize(components(links.union(more)), "components")
-    classes = placed(classes.withColumnRenamed("cid", "node_id"), "node_id", "root")
+    classes = _placed(classes.withColumnRenamed("cid", "node_id"), comp, "node_id", "root")
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = classes.join(smallest, "root").select(F.col("node_id").alias("cid"), "component_id")
     out = s.select("doc_id", "n", "cid").join(labels, "cid", "left")
