@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Operators on DataFrames: scoring, splitting, manifests, paragraphs, transcripts, alignment and the rest."""

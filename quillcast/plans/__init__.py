@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Whole plans: scoring to published manifest, and the registered queries."""

@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Sources and sinks: CSV, JSON lines, transcripts, documents, waveforms and checksums."""

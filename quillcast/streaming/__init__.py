@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Resumable incremental runs with Structured Streaming."""
