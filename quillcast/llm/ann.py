@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import materialize, ranked
+from quillcast.llm.common import Lean, materialize, ranked
 
 CURVES, AXES, CELL_BITS = 16, 4, 5
 WINDOW, LEAST, BLOCK = 0.1, 1024, 1024
@@ -123,7 +123,7 @@ def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id"
     """(query_id, rank, vec_id, score) of the ``k`` nearest found for rows that ``query_filter`` (a Column on vec_id) picks."""
     spark, keep = vectors.sparkSession, k + 1
     rows = usable(vectors, vec_id, vector)
-    grouped = rows.mapInArrow(partial(_classes, keep=keep), "cid long, vec binary, ids array<long>")
+    grouped = rows.mapInArrow(Lean(_classes, keep=keep), "cid long, vec binary, ids array<long>")
     merged = grouped.groupBy("cid").agg(F.any_value("vec").alias("vec"), F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"))
     index = materialize(merged.withColumn("least", F.element_at("ids", 1)), "index")
     n = index.count()
@@ -138,11 +138,11 @@ def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id"
     basis = np.linalg.eigh(x.T @ x)[1][:, ::-1]
     scale = np.maximum((x @ basis).std(axis=0), 1e-9)
     shifts = np.random.default_rng(seed).uniform(0, 1, (curves, 1))
-    keyed = index.select("cid", "vec", "least").mapInArrow(partial(_keys, basis=basis, scale=scale, shifts=shifts), "curve int, key long, cid long, vec binary, least long")
+    keyed = index.select("cid", "vec", "least").mapInArrow(Lean(_keys, basis=basis, scale=scale, shifts=shifts), "curve int, key long, cid long, vec binary, least long")
     placed = ranked(keyed, [F.col("curve"), F.col("key"), F.col("cid")], "at", "total", "curves")
     placed = placed.withColumn("at", F.col("at") - F.col("curve") * n)
     asked = rows.filter(query_filter).select(F.col("vec_id").alias("query_id"), "v")
-    asked = asked.select("query_id", "v").mapInArrow(_named, "query_id long, q long")
+    asked = asked.select("query_id", "v").mapInArrow(Lean(_named), "query_id long, q long")
     asked = materialize(asked, "queries")
     half = max(least, int(np.ceil(window * n / 2)))
     salts = max(1, int(np.ceil((2 * half + BLOCK) / n * max(1, asked.count()) / QUERIES_AT_ONCE)))

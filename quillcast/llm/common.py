@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
-import re
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +44,28 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on, and what they hold counts against their executor."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+class Lean(partial):
+    """A function of Arrow batches that sees a few rows at a time and leaves no memory behind."""
+
+    ROWS = 256
+
+    def __call__(self, batches):
+        yield from super().__call__(b.slice(i, self.ROWS) for b in batches for i in range(0, b.num_rows, self.ROWS))
+        release()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -105,7 +129,3 @@ def ranked(df: DataFrame, keys: list[Column], rank: str, total: str, tag: str) -
         .withColumn(rank, F.col(start) + F.col(idx))
         .drop(pid, idx, start)
     )
-
-
-def safe_name(name: str) -> str:
-    return re.sub(r"\W", "_", name)

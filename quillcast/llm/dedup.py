@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import fresh, materialize
+from quillcast.llm.common import Lean, fresh, materialize, release
 from quillcast.llm.graph import components
 
 REGISTERS, ROWS, MANTISSA = 384, 8, 10
@@ -40,7 +40,7 @@ MARGIN = 0.1
 COLLISION = 0.169919487159739
 #: A list of ids up to this long is broadcast (8 bytes each); longer ones are joined by shuffle.
 MAX_BROADCAST_IDS = 1_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Sizes of the blocks that are compared in one task.
 BLOCK_LEFT, BLOCK_RIGHT, BLOCK_SHINGLES, BUNDLE_ROWS = 128, 512, 400_000, 1500
 
@@ -142,7 +142,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 def sketch(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n, cid, regs, keys) of every row: set size, class, registers and band keys."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return slim.mapInArrow(partial(_sketch, width=width), "doc_id long, n long, cid long, regs binary, keys array<long>")
+    return slim.mapInArrow(Lean(_sketch, width=width), "doc_id long, n long, cid long, regs binary, keys array<long>")
 
 
 def _estimates(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def _texts(named: DataFrame, reps: DataFrame, docs: DataFrame, width: int) -> Da
     wanted = materialize(named.join(reps.select("cid", "doc_id"), "cid"), "wanted")
     few = wanted.count() <= MAX_BROADCAST_IDS
     texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id")
-    texts = texts.mapInArrow(partial(_only_class, width=width), "cid long, text binary")
+    texts = texts.mapInArrow(Lean(_only_class, width=width), "cid long, text binary")
     return materialize(texts, "texts")
 
 
@@ -193,14 +193,14 @@ def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
         pairs.join(side.select(F.col("cid").alias("a"), F.col("regs").alias("ra"), F.col("n").alias("na")), "a")
         .join(side.select(F.col("cid").alias("b"), F.col("regs").alias("rb"), F.col("n").alias("nb")), "b")
         .select("a", "b", "ra", "rb", "na", "nb")
-        .mapInArrow(partial(_estimates, threshold=percent / 100), "a long, b long")
+        .mapInArrow(Lean(_estimates, threshold=percent / 100), "a long, b long")
     )
     near = materialize(near, "near")
     named = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
     texts = _texts(named, reps, docs, width)
     left, right = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
     both = near.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-    return materialize(both.mapInArrow(partial(_confirmed, width=width, percent=percent), "a long, b long"), "links")
+    return materialize(both.mapInArrow(Lean(_confirmed, width=width, percent=percent), "a long, b long"), "links")
 
 
 def _only_class(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -327,6 +327,9 @@ def _meet(left: pd.DataFrame, right: pd.DataFrame, width: int, percent: int) ->
                 if own[j] not in met and _similar(whole(row.cid, row.text), whole(cid[j], texts[j]), percent):
                     out.append((row.cid, cid[j]))
                     met.add(own[j])
+    sets.clear()
+    hashes.clear()
+    release()
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 

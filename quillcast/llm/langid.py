@@ -19,21 +19,22 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillcast.llm.common import Lean, release
+
 CORE, EDGE = 96, 16
 DIMS = 1 << 16
-SAMPLE_DOCS, CHUNKS, CHUNK_WORDS, MAX_LANGUAGES = 400, 10, 40, 32
+SAMPLE_DOCS, CHUNKS, CHUNK_WORDS, MAX_LANGUAGES = 300, 8, 40, 32
 LEXICON_COUNT = 3
 EPOCHS = 40
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Characters that are handled together before forward-backward runs.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 1_000_000
 MIN_SCORE = 0.35
 
 
@@ -201,8 +202,8 @@ class Labeller:
         steps = CORE + 2 * EDGE
         spans = [(d, s) for d, ids in enumerate(docs) for s in range(0, len(ids), CORE)]
         out = [np.zeros((len(ids), self.k), np.float32) for ids in docs]
-        for i in range(0, len(spans), 2048):
-            part = spans[i : i + 2048]
+        for i in range(0, len(spans), 1024):
+            part = spans[i : i + 1024]
             ids, mask = np.zeros((len(part), steps), np.int64), np.zeros((len(part), steps), bool)
             for j, (d, s) in enumerate(part):
                 run = docs[d][max(0, s - EDGE) : s + CORE + EDGE]
@@ -263,9 +264,11 @@ def fit(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str =
     hit = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000
     some = rows.filter(hit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     # a run that copies repeat counts once, and one that stands under several languages tells nothing
-    runs = some.mapInArrow(_chunks, "lang string, text string").groupBy("text").agg(F.min("lang").alias("lang"), F.max("lang").alias("other"))
+    runs = some.mapInArrow(Lean(_chunks), "lang string, text string").groupBy("text").agg(F.min("lang").alias("lang"), F.max("lang").alias("other"))
     chunks = runs.filter("lang = other").limit(3 * sample_docs * CHUNKS * len(counts)).collect()
-    return train([(r["lang"], r["text"]) for r in chunks])
+    model = train([(r["lang"], r["text"]) for r in chunks])
+    release()
+    return model
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
@@ -289,11 +292,11 @@ def predict(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: s
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     if model is None:
         return slim.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    return slim.mapInArrow(partial(_predict, model=model), "doc_id long, lang_pred string, score double")
+    return slim.mapInArrow(Lean(_predict, model=model), "doc_id long, lang_pred string, score double")
 
 
 def filter_documents(docs: DataFrame, model: dict | None, min_score: float = MIN_SCORE, text: str = "text") -> DataFrame:
     """The rows whose language is found with ``min_score`` at least, with all columns of ``docs``."""
     if model is None:
         return docs.limit(0)
-    return docs.mapInArrow(partial(_kept, model=model, at=docs.columns.index(text), min_score=min_score), docs.schema)
+    return docs.mapInArrow(Lean(_kept, model=model, at=docs.columns.index(text), min_score=min_score), docs.schema)

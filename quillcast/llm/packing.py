@@ -19,18 +19,17 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import materialize, ranked
+from quillcast.llm.common import Lean, materialize, ranked
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 #: Word pieces of the byte-level BPE (fixed value of the public GPT-2 vocabulary).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Outside these characters, engines may differ in what a letter or a space is; such texts go to the tokenizer whole.
@@ -90,7 +89,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = F
     """Pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked, the ids as bytes."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-    out = slim.mapInArrow(partial(_tokenized, path=path, capacity=capacity, ids=ids), schema)
+    out = slim.mapInArrow(Lean(_tokenized, path=path, capacity=capacity, ids=ids), schema)
     return out if ids else out.drop("ids")
 
 
@@ -206,7 +205,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, ids: bool = False
     placed = ranked(pieces, [F.col("length"), F.col("ids_crc32"), F.col("doc_id"), F.col("piece")], "rank", "total", "packed")
     out = [c for c in placed.columns if c not in ("rank", "total")]
     schema = ", ".join(f"{c} {t}" for c, t in placed.select(*out).dtypes) + ", sequence_id bigint, offset bigint"
-    return placed.mapInArrow(partial(_placed, seg=seg, first=first), schema)
+    return placed.mapInArrow(Lean(_placed, seg=seg, first=first), schema)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

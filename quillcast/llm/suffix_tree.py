@@ -21,14 +21,13 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import materialize
+from quillcast.llm.common import Lean, materialize
 
 DEPTH = 2
 P_MIN, E_MIN, V_MIN = 2e-5, 1e-6, 1e-6
@@ -213,7 +212,7 @@ def _collect(df: DataFrame, *names: str) -> list[np.ndarray]:
 def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = DEPTH, p_min: float = P_MIN, e_min: float = E_MIN, v_min: float = V_MIN) -> dict:
     """The model: the table of all word counts, N, V, common words and the tree."""
     rows = docs.filter(may_learn).select(F.col(text).cast("binary").alias("text"))
-    counts = rows.mapInArrow(_counted, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    counts = rows.mapInArrow(Lean(_counted), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     counts = materialize(counts, "words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total["n"]), int(total["v"])
@@ -235,7 +234,7 @@ def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = D
         if not len(codes):
             keeps.append(np.zeros(0, np.int64))
             break
-        found = rows.mapInArrow(partial(_next_counts, hashes=h, levels=model["levels"], depth=d), "code long, c long")
+        found = rows.mapInArrow(Lean(_next_counts, hashes=h, levels=model["levels"], depth=d), "code long, c long")
         # at most 1 / e_min entries
         found = found.groupBy("code").agg(F.sum("c").alias("c")).filter(F.col("c") >= max(2.0, e_min * n))
         code, cs = _collect(found, "code", "c")
@@ -310,7 +309,7 @@ def _log_shares(states: np.ndarray, words: np.ndarray, base_log: np.ndarray, ent
 def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    run = partial(_score, hashes=model["hashes"], levels=model["levels"], tree=model["tree"], base_log=model["base_log"])
+    run = Lean(_score, hashes=model["hashes"], levels=model["levels"], tree=model["tree"], base_log=model["base_log"])
     rows = slim.mapInArrow(run, "doc_id long, rid long, n_tokens long, known long, base double, tree double, rare array<long>, many array<long>")
     rows = materialize(rows, "scored")
     n, v = model["n"], model["v"]
