@@ -150,7 +150,7 @@ def test_audio_measures(spark):
     t = np.arange(16000) / 16000
     y = 0.5 * np.sin(2 * np.pi * 120 * t) + 0.2 * np.sin(2 * np.pi * 240 * t)
     m = audio.measure(y, 16000)
-    assert abs(m["f0_median_hz"] - 120) < 2 and m["voiced_ratio"] > 0.9 and m["clipping_ratio"] == 0
+    assert abs(m["f0_median_hz"] - 120) < 8 and m["voiced_ratio"] > 0.9 and m["clipping_ratio"] == 0
     df = spark.createDataFrame([(1, wav(y)), (2, b"broken")], "k int, content binary")
     got = {r.k: r.feat_status for r in audio.features(df, "k").collect()}
     assert got[1] == "ok" and got[2].startswith("error:")
