@@ -218,16 +218,25 @@ def q13_normalize_text(spark, d):
     return _t(spark, d, "documents").select("doc_id", text.normalize_for_match(F.col("text")).alias("normalized"))
 
 
+#: The first sentence of a text stands in for a speech.
+_FIRST_SENTENCE = r"[^.!?\s][^.!?]*"
+_SENTENCE = f"regexp_extract(text, '{_FIRST_SENTENCE}')"
+
+
+def _sentence(column: str):
+    return F.regexp_extract(column, _FIRST_SENTENCE, 0)
+
+
 @query(
     f"""SELECT conv_id, c.turn, contains(n, {_NORM.format('s')}) AND s <> '' AS near, contains(t, s) AND s <> '' AS exact
- FROM (SELECT conv_id, turn, text AS t, {_NORM.format('text')} AS n, lead(substr(text, 1, 40), 1, substr(text, 10, 30)) OVER (PARTITION BY conv_id ORDER BY turn) AS s FROM conversations) c"""
+ FROM (SELECT conv_id, turn, text AS t, {_NORM.format('text')} AS n, lead({_SENTENCE}, 1, {_SENTENCE}) OVER (PARTITION BY conv_id ORDER BY turn) AS s FROM conversations) c"""
 )
 def q14_guard_contains(spark, d):
     from pyspark.sql import Window
 
     w = Window.partitionBy("conv_id").orderBy("turn")
-    c = _t(spark, d, "conversations").withColumn("next", F.lead(F.substring("text", 1, 40)).over(w))
-    c = c.withColumn("s", F.coalesce("next", F.substring("text", 10, 30)))
+    c = _t(spark, d, "conversations").withColumn("said", _sentence("text"))
+    c = c.withColumn("s", F.coalesce(F.lead("said").over(w), "said"))
     s, t = F.col("s"), F.col("text")
     return c.select("conv_id", "turn", text.speech_in_chunk(s, t).alias("near"), text.speech_in_chunk(s, t, exact=True).alias("exact"))
 
@@ -287,12 +296,12 @@ def q20_junk_description(spark, d):
 
 
 @query(
-    """WITH s AS (SELECT conv_id, substr(text, 5, 25) AS s FROM conversations WHERE turn = 1 AND substr(text, 5, 25) <> '')
+    f"""WITH s AS (SELECT conv_id, {_SENTENCE} AS s FROM conversations WHERE turn = 1 AND {_SENTENCE} <> '')
  SELECT conv_id, turn, coalesce(bool_or(contains(text, s)), false)::INT AS label FROM conversations LEFT JOIN s USING (conv_id) GROUP BY ALL"""
 )
 def q21_label_containment(spark, d):
     c = _t(spark, d, "conversations")
-    speeches = c.filter("turn = 1").select("conv_id", F.substring("text", 5, 25).alias("s"))
+    speeches = c.filter("turn = 1").select("conv_id", _sentence("text").alias("s"))
     return paragraphs.containment_labels(c, speeches, "conv_id", "text", "s").select("conv_id", "turn", "label")
 
 
@@ -375,10 +384,10 @@ def q30_kfold_assign(spark, d):
 
 
 def _planted(spark, d):
-    """Conversation texts as queries inside the joined text of their conversation."""
+    """Whole conversation texts as queries inside the joined text of their conversation."""
     c = _t(spark, d, "conversations").filter(F.length("text") > 0)
     whole = transcripts.joined_text(c, "conv_id", "turn", "text")
-    return c.join(whole, "conv_id").select("conv_id", "turn", F.substring("text", 3, 120).alias("q"), F.substring("joined_text", 1, 20000).alias("joined"))
+    return c.join(whole, "conv_id").select("conv_id", "turn", F.col("text").alias("q"), F.col("joined_text").alias("joined"))
 
 
 @query()
@@ -396,8 +405,8 @@ def q32_pair_gate(spark, d):
 def q33_two_level_match(spark, d):
     c = _t(spark, d, "conversations").filter("text is not null")
     key = F.col("conv_id").cast("string")
-    frags = c.select(key.alias("path_book"), F.lit("r").alias("reader"), key.alias("path_audio"), F.col("turn").alias("chunk_id"), F.lit(0).cast("long").alias("pos"), F.substring("text", 1, 400).alias("chunk_text"), F.substring("text", 20, 60).alias("speech"))
-    words = c.select(key.alias("path_audio"), "turn", F.posexplode(F.split(F.substring("text", 1, 1500), r"\s+")).alias("k", "word"))
+    frags = c.select(key.alias("path_book"), F.lit("r").alias("reader"), key.alias("path_audio"), F.col("turn").alias("chunk_id"), F.lit(0).cast("long").alias("pos"), F.col("text").alias("chunk_text"), _sentence("text").alias("speech"))
+    words = c.select(key.alias("path_audio"), "turn", F.posexplode(F.split("text", r"\s+")).alias("k", "word"))
     at = (F.col("turn") * 100_000 + F.col("k")).cast("long")
     words = words.select("path_audio", at.alias("word_idx"), "word", at.cast("double").alias("start"), (at + 0.5).cast("double").alias("end"), F.lit(0.9).alias("score"))
     out = align.match_all(frags, words)
@@ -406,7 +415,7 @@ def q33_two_level_match(spark, d):
 
 @query()
 def q34_anonymize(spark, d):
-    docs = _t(spark, d, "documents").select(F.substring("text", 1, 120).alias("description"), F.element_at(F.split("text", r"\s+"), 1).alias("character"))
+    docs = _t(spark, d, "documents").select(F.col("text").alias("description"), F.element_at(F.split("text", r"\s+"), 1).alias("character"))
     return names.anonymize(docs).select("description", "description_anon", "changed", F.array_join("names", "|").alias("names"))
 
 
@@ -453,7 +462,7 @@ def q39_threshold_sweep(spark, d):
 @query()
 def q40_hybrid_classifier(spark, d):
     lab = sampling.keep_first(_t(spark, d, "labels"), ["doc_id"], ["quality", "toxic"]).select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = _t(spark, d, "documents").select("doc_id", F.substring("text", 1, 400).alias("text"), F.substring("text", 401, 200).alias("context"))
+    docs = _t(spark, d, "documents").select("doc_id", "text", F.col("source").alias("context"))
     rows = classifier.with_flags(docs.join(lab, "doc_id"), "text")
     model = classifier.fit(rows, vocabulary=5000)
     return classifier.score(model, rows).select("doc_id", "label", F.round("prob", 6).alias("prob"))
