@@ -77,4 +77,53 @@ QUERIES = {
         op10_suffix_tree,
     )
 }
-ORACLES: dict[str, str] = {}
+
+
+def _fences(level: str) -> str:
+    return f"quantile_disc({level}, 0.75) + {quality.SPREAD} * (quantile_disc({level}, 0.75) - quantile_disc({level}, 0.5)) AS f_{level}"
+
+
+def _quality_sql() -> str:
+    """The measures in SQL, with exact quantiles for the sketches (which are exact up to several thousand rows a group)."""
+    fences = ", ".join(_fences(r) for r in quality.RATIOS)
+    chosen = ", ".join(
+        f"greatest({quality.FLOORS[r]}, coalesce(CASE WHEN fine.n >= {quality.MIN_GROUP} THEN fine.f_{r} WHEN l.n >= {quality.MIN_GROUP} THEN l.f_{r} ELSE a.f_{r} END, 0.0)) AS max_{r}"
+        for r in quality.RATIOS
+    )
+    inside = " AND ".join(f"{r} <= max_{r}" for r in quality.RATIOS)
+    counts = "n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words"
+    return rf"""WITH t AS (SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+ w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+ p AS (SELECT k, unnest(words) AS w0, unnest(range(len(words))) AS i FROM w),
+ g AS (SELECT k, i, w0, lead(w0) OVER o AS w1, lead(w0, 2) OVER o AS w2 FROM p WINDOW o AS (PARTITION BY k ORDER BY i)),
+ c AS (SELECT k, i, count(*) OVER (PARTITION BY k, w0, w1, w2) AS times FROM g WHERE w2 IS NOT NULL),
+ r AS (SELECT k, count(DISTINCT i + d) AS n_repeat_words FROM c CROSS JOIN range(3) x(d) WHERE times > 1 GROUP BY k),
+ m AS (SELECT doc_id, lang, source, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+ length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+ coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN r USING (k)),
+ q AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(n_symbols / nullif(word_chars, 0), 0.0) AS symbol_ratio,
+ coalesce(word_chars / nullif(n_words, 0), 0.0) AS mean_word_chars, coalesce(n_dup_lines / nullif(n_lines, 0), 0.0) AS dup_line_ratio, coalesce(n_repeat_words / nullif(n_words, 0), 0.0) AS repeat_ratio FROM m),
+ fine AS (SELECT lang, source, count(*) AS n, {fences} FROM q WHERE NOT base_failed GROUP BY lang, source), l AS (SELECT lang, count(*) AS n, {fences} FROM q WHERE NOT base_failed GROUP BY lang),
+ a AS (SELECT {fences} FROM q WHERE NOT base_failed),
+ s AS (SELECT g.lang, g.source, {chosen} FROM (SELECT DISTINCT lang, source FROM q) g LEFT JOIN fine ON g.lang IS NOT DISTINCT FROM fine.lang AND g.source IS NOT DISTINCT FROM fine.source
+ LEFT JOIN l ON g.lang IS NOT DISTINCT FROM l.lang CROSS JOIN a)
+ SELECT doc_id, {counts}, base_failed, {", ".join(quality.RATIOS)}, NOT base_failed AND {inside} AS kept FROM q JOIN s ON q.lang IS NOT DISTINCT FROM s.lang AND q.source IS NOT DISTINCT FROM s.source"""
+
+
+def _chat_sql() -> str:
+    """Turns and assistant texts hashed straight from the table; an escaped text has a character more for each backslash and control string."""
+
+    def escaped(c: str) -> str:
+        extra = [f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in ("\\", *chat.CONTROLS)]
+        return f"length({c}) + " + " + ".join(extra)
+
+    said, marks = "</s>[INST] ok [/INST]", len(chat.TURN + chat.SAY + chat.END)
+    loss = f"coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = '{chat.LOSS_ROLE}'), '')"
+    return f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{said}'), (-7, 1, 'assistant', '{said}')))
+ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256, length({loss})::BIGINT AS loss_chars, sha256({loss}) AS loss_sha256,
+ sum({marks} + {escaped("role")} + {escaped("text")})::BIGINT AS formatted_chars FROM t GROUP BY conv_id"""
+
+
+#: The others are learned or approximate, or hash as SQL can't; tests hold them against brute force or held-out rows.
+ORACLES: dict[str, str] = {"op2_quality_rules": _quality_sql(), "op8_chat_format": _chat_sql()}

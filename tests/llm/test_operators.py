@@ -5,12 +5,13 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quillcast.llm import ann, chat, dedup, graph, langid, mixing, packing, quality, sharding, suffix_tree, urls
+from quillcast.llm import ann, chat, dedup, graph, langid, mixing, packing, quality, queries, sharding, suffix_tree, urls
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, total string, rank int, q string, cid int"
@@ -276,3 +277,14 @@ def test_pipeline(spark, sf):
         assert out.columns == docs.columns, name
         docs = out
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_queries_against_sql(spark, sf, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = con.execute(queries.ORACLES[name]).df()
+    got = queries.QUERIES[name](spark, sf).toPandas()[list(want.columns)]
+    key = want.columns[0]
+    assert got.sort_values(key).to_dict("list") == want.sort_values(key).to_dict("list")
