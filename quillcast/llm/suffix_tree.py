@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from quillcast.llm.common import Lean, materialize
 
-DEPTH = 2
-P_MIN, E_MIN, V_MIN = 2e-5, 1e-6, 1e-6
+DEPTH = 3
+P_MIN, E_MIN, V_MIN = 2e-6, 2e-7, 1e-6
 DISCOUNT, DIVERGENCE = 0.75, 4.0
 END = b"\n"  # no word holds a line break
 CACHE_WORDS, COUNTER_WORDS, TOKENS_AT_ONCE = 400_000, 400_000, 800_000
