@@ -101,32 +101,46 @@ def _bundles(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Vocabul
         yield ids
 
 
-def contexts_of(flat: np.ndarray, first: np.ndarray, levels: list[dict], depth: int) -> np.ndarray:
-    """For each token, the number of its history of exactly ``depth`` words among the level's contexts, or -1.
+def states_of(flat: np.ndarray, first: np.ndarray, levels: list[dict]) -> Iterator[np.ndarray]:
+    """For each depth in turn, the number of each token's history of exactly that many words among the level's contexts, or -1.
 
     ``first`` is each token's distance from its text's start. A context of depth d is (its number at depth
-    d - 1 of the earlier words, next word); contexts are looked up by sorted codes.
+    d - 1 of the earlier words, next word); contexts are looked up by sorted codes, those of one word by a table.
     """
     n = len(flat)
-    state = np.full(n, -1, np.int64)  # history before each token
-    if n < 2:
-        return state
-    codes, numbers = levels[0]["codes"], levels[0]["numbers"]
     prev = np.full(n, -1, np.int64)
     prev[1:] = flat[:-1]
-    state = _find(codes, numbers, np.where((first >= 1) & (prev >= 0), prev, -1))
-    for d in range(1, depth):
-        earlier = np.full(n, -1, np.int64)
-        earlier[1:] = state[:-1]
-        state = _find(levels[d]["codes"], levels[d]["numbers"], np.where((first >= d + 1) & (prev >= 0) & (earlier >= 0), earlier << np.int64(24) | prev, -1))
+    state = np.full(n, -1, np.int64)  # history before each token
+    for d, level in enumerate(levels):
+        if not d:
+            codes = level["codes"]
+            table = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)
+            table[codes] = level["numbers"]
+            # words beyond the table, rare ones and none at all read its last place, which is -1
+            known = (first >= 1) & (prev >= 0) & (prev < len(table))
+            state = table[np.where(known, prev, -1)]
+        else:
+            earlier = np.full(n, -1, np.int64)
+            earlier[1:] = state[:-1]
+            state = _find(level["codes"], level["numbers"], np.where((first >= d + 1) & (prev >= 0) & (earlier >= 0), earlier << np.int64(24) | prev, -1))
+        yield state
+
+
+def contexts_of(flat: np.ndarray, first: np.ndarray, levels: list[dict], depth: int) -> np.ndarray:
+    """The states of ``depth`` words."""
+    *_, state = states_of(flat, first, levels[:depth])
     return state
 
 
 def _find(codes: np.ndarray, numbers: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(codes):
-        return np.full(len(wanted), -1, np.int64)
-    i = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-    return np.where((codes[i] == wanted) & (wanted >= 0), numbers[i], -1)
+    out = np.full(len(wanted), -1, np.int64)
+    if len(codes):
+        (some,) = np.nonzero(wanted >= 0)
+        asked = wanted[some]
+        i = np.minimum(np.searchsorted(codes, asked), len(codes) - 1)
+        hit = codes[i] == asked
+        out[some[hit]] = numbers[i[hit]]
+    return out
 
 
 def _starts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,9 +174,7 @@ def _score(batches: Iterator[pa.RecordBatch], hashes, levels, tree, base_log) ->
             score = root.copy()  # rare words' root part is joined later
             if tree:
                 state = np.full(len(flat), -1, np.int64)
-                for d in range(len(levels)):
-                    s = tree["keep"][d]
-                    own = contexts_of(flat, first, levels, d + 1)
+                for own, s in zip(states_of(flat, first, levels), tree["keep"], strict=True):
                     if len(s):
                         g = np.where(own >= 0, s[np.maximum(own, 0)], -1)
                         state = np.where(g >= 0, g, state)
@@ -187,20 +199,21 @@ def _score(batches: Iterator[pa.RecordBatch], hashes, levels, tree, base_log) ->
 
 def _tree_part(state: np.ndarray, flat: np.ndarray, tree: dict) -> np.ndarray:
     """log10 P(word | state) - log10 P(word | root) for every token."""
-    out = np.zeros(len(flat))
-    at, open_ = state.copy(), state >= 0
+    out, at = np.zeros(len(flat)), state.copy()
+    (open_,) = np.nonzero(state >= 0)
     # walk from the longest state to shorter ones until an entry holds the word; the root part is added by the caller
-    while open_.any():
-        code = np.where(open_ & (flat >= 0), at << np.int64(24) | flat, -1)
+    while len(open_):
         if len(tree["entries"]):
+            word = flat[open_]
+            code = np.where(word >= 0, at[open_] << np.int64(24) | word, -1)
             i = np.minimum(np.searchsorted(tree["entries"], code), len(tree["entries"]) - 1)
-            hit = open_ & (tree["entries"][i] == code) & (code >= 0)
+            hit = (tree["entries"][i] == code) & (code >= 0)
             # an entry's value is its log share less the word's root log share
-            out[hit] += tree["gain"][i[hit]]
-            open_ &= ~hit
+            out[open_[hit]] += tree["gain"][i[hit]]
+            open_ = open_[~hit]
         out[open_] += tree["backoff"][at[open_]]
-        at = np.where(open_, tree["parent"][np.maximum(at, 0)], -1)
-        open_ &= at >= 0
+        at[open_] = tree["parent"][at[open_]]
+        open_ = open_[at[open_] >= 0]
     return out
 
 
