@@ -363,30 +363,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, with the columns of ``docs``; rows without words all stay."""
-    found = materialize(near_duplicates(docs, width, percent, doc_id, text), "near-duplicates")
-    gone = found.filter("not kept").select(F.col("doc_id").alias("g"))
-    n = gone.count()
-    ids = F.broadcast(gone) if n <= MAX_BROADCAST_IDS else gone
-    kept = docs.join(ids, F.col(doc_id).cast("long") == F.col("g"), "left_anti")
-    again = found.filter("kept and n_shingles > 0").groupBy("doc_id").count().filter("count > 1").isEmpty()
-    mixed = found.groupBy("doc_id").agg(F.bool_or("kept").alias("some"), F.bool_and("kept").alias("all")).filter("some and not all").isEmpty()
-    if again and mixed:
-        return kept
-    # ids that repeat: decide by (id, class) and keep the first row of each
-    key, cid, place = fresh(docs, "key", "cid", "place")
-    marked = docs.withColumn(key, F.monotonically_increasing_id())
-    marked = materialize(marked, "rows")
-    slim = marked.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    classed = materialize(sketch(slim, width).select(F.col("doc_id").alias(key), F.col("cid").alias(cid)), "row-classes")
-    good = found.filter("kept").select(F.col("doc_id").alias("g"), F.col("class_id").alias("h")).distinct()
-    joined = marked.join(classed, key)
-    first = (
-        joined.filter(F.col(cid).isNotNull())
-        .join(good.filter("h is not null"), F.col(doc_id).cast("long").eqNullSafe(F.col("g")) & (F.col(cid) == F.col("h")))
-        .groupBy("g")
-        .agg(F.min(key).alias(place))
-        .select(place)
-    )
-    chosen = first.union(joined.filter(F.col(cid).isNull()).select(key))
-    return marked.join(chosen, F.col(key) == F.col(place), "left_semi").select(*docs.columns)
+    """One row of each component, its smallest id's, with the columns of ``docs``; rows without words all stay."""
+    ids = docs.groupBy(F.col(doc_id).cast("long").alias("g")).agg(F.count(F.lit(1)).alias("rows"))
+    if ids.filter("g is null or rows > 1").isEmpty():
+        found = materialize(near_duplicates(docs, width, percent, doc_id, text), "near-duplicates")
+        gone = found.filter("not kept").select(F.col("doc_id").alias("g"))
+        few = gone.count() <= MAX_BROADCAST_IDS
+        return docs.join(F.broadcast(gone) if few else gone, F.col(doc_id).cast("long") == F.col("g"), "left_anti")
+    # ids that are null or repeat name no row, so rows get numbers of their own
+    (key,) = fresh(docs, "key")
+    marked = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(marked, width, percent, key, text).select(F.col("doc_id").alias("row"), "component_id")
+    named = marked.select(F.col(key).alias("row"), F.col(doc_id).cast("long").alias("g")).join(found, "row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("g").isNull().alias("none"), "g", "row")).alias("m"))
+    chosen = materialize(first.select(F.col("m.row").alias("place")), "chosen")
+    return marked.join(chosen, F.col(key) == F.col("place"), "left_semi").select(*docs.columns)

@@ -100,6 +100,16 @@ def test_near_copies_hang_together_through_leftovers(spark):
     assert [got[i] for i in range(120)] == want
 
 
+def test_keep_one_keeps_a_row_of_each_component_whatever_the_ids(spark):
+    text = lambda k: " ".join(f"w{k}_{i}" for i in range(60))
+    near = lambda k: text(k) + f" end{k}"
+    rows = [(7, text(0)), (7, text(1)), (None, text(2)), (None, text(3)), (None, near(3)), (3, near(4)), (8, text(4)), (None, text(4)), (7, text(0)), (9, " ")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r.doc_id, r.text) for r in dedup.keep_one(df).collect()}
+    assert got - {(None, text(3)), (None, near(3))} == {(7, text(0)), (7, text(1)), (None, text(2)), (3, near(4)), (9, " ")}
+    assert len(got) == dedup.keep_one(df).count() == 6
+
+
 def test_components_of_a_long_chain(spark):
     e = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.comp for r in graph.components(e).collect()} == {0}
