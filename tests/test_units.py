@@ -1,9 +1,11 @@
 """Truth tables and properties of the parts."""
 
 import io
+import math
 import random
 import wave
 import zipfile
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -192,3 +194,39 @@ def test_csv_round_trip(spark, tmp_path):
 def test_manner_flags():
     assert classifier.manner_flags("шёпотом")[0] and classifier.manner_flags("сказал с гордостью")[1]
     assert classifier.tag_window("«а» тихо и ясно «б» громко", 5) == " тихо  гром"
+
+
+def test_hybrid_classifier_is_plain_tf_idf_and_logistic_regression(spark, tmp_path):
+    from quillcast.plans import catalog
+
+    rng = np.random.default_rng(4)
+    lexicon = ["".join(rng.choice(list("abcdefghijklmnopqrst"), 9)) for _ in range(600)]
+    y = [k % 2 for k in range(50)]
+    texts = [" ".join([*rng.choice(lexicon[: 300 + 250 * v], 90), *(["шёпотом"] * (k % 5 == 0))]) for k, v in enumerate(y)]
+    contexts = [f"site{k % 3}.org" for k in range(50)]
+    spark.createDataFrame(list(zip(range(50), texts, ["en"] * 50, contexts)), "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, v, 0) for k, v in enumerate(y)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r.prob for r in catalog.QUERIES["q40_hybrid_classifier"](spark, str(tmp_path)).collect()}
+
+    def unit_tf_idf(column):
+        grams = [Counter(f" {w} "[i : i + n] for w in t.split() for n in (3, 4, 5) for i in range(len(w) + 3 - n)) for t in column]
+        df = Counter(g for c in grams for g in c)
+        terms = {g: j for j, g in enumerate(g for g in df if df[g] > 1)}
+        x = np.zeros((len(column), len(terms)))
+        for k, c in enumerate(grams):
+            for g, m in c.items():
+                if g in terms:
+                    x[k, terms[g]] = m * math.log((len(column) + 1) / (df[g] + 1))
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+    x = np.hstack([unit_tf_idf(texts), unit_tf_idf(contexts), np.array([classifier.manner_flags(t) for t in texts], float)])
+    assert 5000 < x.shape[1] < 50_000
+    # Newton's method on the dual weights and the intercept; classes are of equal size, so every row weighs one
+    kernel, t, a, b = x @ x.T, np.array(y), np.zeros(50), 0.0
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(kernel @ a + b)))
+        s = p * (1 - p)
+        grad = np.append(p - t + a, (p - t).sum())
+        step = np.linalg.solve(np.block([[s[:, None] * kernel + np.eye(50), s[:, None]], [s @ kernel, s.sum()]]), grad)
+        a, b = a - step[:50], b - step[50]
+    assert np.allclose([got[k] for k in range(50)], 1 / (1 + np.exp(-(kernel @ a + b))), atol=1e-3)
