@@ -6,7 +6,8 @@ keys around its own place in every ordering, the windows' finds are merged, and
 inner product of the original vectors in double precision.
 
 A window spans a share of the ordering, because vectors without any clusters leave neighbours only slightly nearer on a few axes;
-``window`` and ``least`` set it. Equal vectors are one entry that remembers its smallest ids, so a vector that a third of
+``window`` and ``least`` set it. Inside a group of near copies finer cells and, where keys are still equal, an order of each curve's own let the
+windows see different rows. Equal vectors are one entry that remembers its smallest ids, so a vector that a third of
 the rows share costs no more than another; ids beyond these can't be among the nearest, as ties go to smaller ids.
 
 Defined results: vectors that are null, zero, of an uncommon length or with null or non-finite components take no part, nor do null ids; repeated
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from quillcast.llm.common import Lean, materialize, ranked
 
-CURVES, AXES, CELL_BITS = 16, 4, 5
+#: AXES * CELL_BITS bits make a key; cells are fine enough that near copies of one vector spread over many.
+CURVES, AXES, CELL_BITS = 16, 4, 15
 WINDOW, LEAST, BLOCK = 0.1, 1024, 1024
 FIT_ROWS = 20_000
 QUERIES_AT_ONCE = 1024
@@ -139,7 +141,8 @@ def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id"
     scale = np.maximum((x @ basis).std(axis=0), 1e-9)
     shifts = np.random.default_rng(seed).uniform(0, 1, (curves, 1))
     keyed = index.select("cid", "vec", "least").mapInArrow(Lean(_keys, basis=basis, scale=scale, shifts=shifts), "curve int, key long, cid long, vec binary, least long")
-    placed = ranked(keyed, [F.col("curve"), F.col("key"), F.col("cid")], "at", "total", "curves")
+    # each curve has its own order of equal keys, so the windows inside a tight group differ
+    placed = ranked(keyed, [F.col("curve"), F.col("key"), F.xxhash64("curve", "cid"), F.col("cid")], "at", "total", "curves")
     placed = placed.withColumn("at", F.col("at") - F.col("curve") * n)
     asked = rows.filter(query_filter).select(F.col("vec_id").alias("query_id"), "v")
     asked = asked.select("query_id", "v").mapInArrow(Lean(_named), "query_id long, q long")

@@ -250,6 +250,26 @@ def test_neighbours(spark):
     assert hits / 600 >= 0.9 and set(got.query_id) == set(range(0, 600, 20))
 
 
+@pytest.mark.parametrize("sd", [1e-3, 1e-5])
+def test_neighbours_among_near_copies(spark, tmp_path, sd):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng, n = np.random.default_rng(6), 24_000
+    x = rng.normal(size=(n, 32))
+    x[: n // 3] = x[0] + sd * rng.normal(size=(n // 3, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(x), pa.list_(pa.float64()))}), f"{tmp_path}/e.parquet")
+    ids = np.arange(0, n // 3, 160)
+    got = ann.search(spark.read.parquet(f"{tmp_path}/e.parquet"), F.col("vec_id").isin(ids.tolist())).toPandas()
+    hits = 0
+    for q in ids:
+        near = ((x - x[q]) ** 2).sum(axis=1)  # unit vectors: the nearest have the largest product
+        near[q] = np.inf
+        hits += len(set(np.argsort(near)[:20]) & set(got[got.query_id == q].vec_id))
+    assert hits / (20 * len(ids)) >= 0.9, hits / (20 * len(ids))
+
+
 def test_odd_rows_and_empty_tables(odd, none):
     everyone = F.lit(True)
     for df in (odd, none):
