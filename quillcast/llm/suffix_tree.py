@@ -1,16 +1,16 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 Symbols are lower-cased words and one end per text. A state is a context of up to ``DEPTH`` words. As in the
-original learning algorithm, contexts are tried from short to long, only those with an empirical
-probability of ``P_MIN`` at least, and a context is retained when the divergence of its next-symbol distribution from that of its
-longest retained suffix, times its count, passes ``DIVERGENCE``. So the tree has at most DEPTH / P_MIN states, and
-DEPTH / E_MIN next-symbol entries, whatever the corpus; the root's distribution is over all words of the corpus.
+original learning algorithm, contexts are tried from short to long, only those seen
+``LEAST`` times or more, and a context is retained when the divergence of its next-symbol distribution from that of its
+longest retained suffix, times its count, passes ``DIVERGENCE``. So states and
+next-symbol entries grow with the corpus, and so do the arrays that hold them in the driver and in every task; the root's distribution is over all words of the corpus.
 
 A state's distribution: each kept entry has its discounted share, the rest goes to the other symbols in proportion to the
 longest retained suffix's distribution (down to the root's additive smoothing), so every distribution sums to one.
 
-Counts come from every training text. Words with a share of ``V_MIN`` at least (1 / V_MIN of them at most) get numbers that all tasks know; the
-counts of rarer words stay in a table and are joined. A text's score is the sum over its symbols from the longest suffix state of its history.
+Counts come from every training text. Words seen ``LEAST`` times or more get numbers that all tasks know; the
+counts of rarer words, which are in no context or entry, stay in a table and are joined. A text's score is the sum over its symbols from the longest suffix state of its history.
 
 Defined results: null and blank texts have the end only; repeated rows are scored alike and all counted in training; with no training
 texts N and V are 0 and the score equals the base score; an empty table gives an empty result; other columns are ignored.
@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from quillcast.llm.common import Lean, materialize
 
 DEPTH = 3
-P_MIN, E_MIN, V_MIN = 2e-6, 2e-7, 1e-6
+LEAST = 2
+#: Bits of a word's number, beside a context's number of 63 - WORD_BITS.
+WORD_BITS = 28
 DISCOUNT, DIVERGENCE = 0.75, 4.0
 END = b"\n"  # no word holds a line break
 CACHE_WORDS, COUNTER_WORDS, TOKENS_AT_ONCE = 400_000, 400_000, 800_000
@@ -122,7 +124,7 @@ def states_of(flat: np.ndarray, first: np.ndarray, levels: list[dict]) -> Iterat
         else:
             earlier = np.full(n, -1, np.int64)
             earlier[1:] = state[:-1]
-            state = _find(level["codes"], level["numbers"], np.where((first >= d + 1) & (prev >= 0) & (earlier >= 0), earlier << np.int64(24) | prev, -1))
+            state = _find(level["codes"], level["numbers"], np.where((first >= d + 1) & (prev >= 0) & (earlier >= 0), earlier << np.int64(WORD_BITS) | prev, -1))
         yield state
 
 
@@ -156,7 +158,7 @@ def _next_counts(batches: Iterator[pa.RecordBatch], hashes, levels, depth: int)
         flat, first, _ = _starts(ids)
         state = contexts_of(flat, first, levels, depth)
         ok = (state >= 0) & (flat >= 0)
-        codes, counts = np.unique(state[ok] << np.int64(24) | flat[ok], return_counts=True)
+        codes, counts = np.unique(state[ok] << np.int64(WORD_BITS) | flat[ok], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], ["code", "c"])
 
 
@@ -205,7 +207,7 @@ def _tree_part(state: np.ndarray, flat: np.ndarray, tree: dict) -> np.ndarray:
     while len(open_):
         if len(tree["entries"]):
             word = flat[open_]
-            code = np.where(word >= 0, at[open_] << np.int64(24) | word, -1)
+            code = np.where(word >= 0, at[open_] << np.int64(WORD_BITS) | word, -1)
             i = np.minimum(np.searchsorted(tree["entries"], code), len(tree["entries"]) - 1)
             hit = (tree["entries"][i] == code) & (code >= 0)
             # an entry's value is its log share less the word's root log share
@@ -222,22 +224,23 @@ def _collect(df: DataFrame, *names: str) -> list[np.ndarray]:
     return [t.column(n).to_numpy().astype(np.int64) for n in names]
 
 
-def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = DEPTH, p_min: float = P_MIN, e_min: float = E_MIN, v_min: float = V_MIN) -> dict:
+def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = DEPTH) -> dict:
     """The model: the table of all word counts, N, V, common words and the tree."""
     rows = docs.filter(may_learn).select(F.col(text).cast("binary").alias("text"))
     counts = rows.mapInArrow(Lean(_counted), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     counts = materialize(counts, "words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total["n"]), int(total["v"])
-    # at most 1 / v_min words, and 2**24 numbers are free
-    h, c = _collect(counts.filter(F.col("c") >= max(1.0, v_min * n)), "h", "c")
+    h, c = _collect(counts.filter(F.col("c") >= LEAST), "h", "c")
+    if len(h) > 1 << WORD_BITS:
+        raise ValueError(f"{len(h)} words seen {LEAST} times or more; {1 << WORD_BITS} numbers are free")
     order = np.lexsort((h, -c))
     h, c = h[order], c[order]
     model = {"counts": counts, "n": n, "v": v, "hashes": h, "levels": [], "tree": None}
     model["base_log"] = np.log10((c + 0.5) / (n + 0.5 * (v + 1))) if n else np.zeros(0)
     if not n:
         return model
-    eligible = np.nonzero((c >= max(2, p_min * n)) & (h != word_hash(END)))[0]
+    eligible = np.nonzero(h != word_hash(END))[0]
     codes, context_counts = eligible, c[eligible]
     keeps, entries, gains, backoffs, parents = [], [], [], [], []
     suffix = np.full(len(codes), -1, np.int64)  # retained state below each context
@@ -248,12 +251,11 @@ def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = D
             keeps.append(np.zeros(0, np.int64))
             break
         found = rows.mapInArrow(Lean(_next_counts, hashes=h, levels=model["levels"], depth=d), "code long, c long")
-        # at most 1 / e_min entries
-        found = found.groupBy("code").agg(F.sum("c").alias("c")).filter(F.col("c") >= max(2.0, e_min * n))
+        found = found.groupBy("code").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
         code, cs = _collect(found, "code", "c")
         order = np.argsort(code)
         code, cs = code[order], cs[order]
-        s, w = code >> 24, code & ((1 << 24) - 1)
+        s, w = code >> WORD_BITS, code & ((1 << WORD_BITS) - 1)
         share = (cs - DISCOUNT) / context_counts[s]
         below = _log_shares(suffix[s], w, model["base_log"], entries, gains, backoffs, parents)
         shifted = np.bincount(s, 10.0**below, len(codes))
@@ -265,7 +267,7 @@ def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = D
         number = np.where(retained, state_total + np.cumsum(retained) - 1, -1)
         keeps.append(number)
         take = retained[s]
-        new_entries = number[s[take]] << 24 | w[take]
+        new_entries = number[s[take]] << WORD_BITS | w[take]
         new_gains = np.log10(share[take]) - model["base_log"][w[take]]
         new_backoffs = np.log10(left[retained] / other[retained])
         new_parents = suffix[retained]
@@ -276,8 +278,8 @@ def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = D
         state_total += int(retained.sum())
         if d == depth:
             break
-        # longer contexts: frequent (context, word) pairs; their suffix drops the first word
-        longer = (cs >= max(2, p_min * n)) & (h[w] != word_hash(END))
+        # longer contexts: the counted (context, word) pairs; their suffix drops the first word
+        longer = h[w] != word_hash(END)
         codes, context_counts, ss, ww = code[longer], cs[longer], s[longer], w[longer]
         suffix = _suffix_states(model["levels"], keeps, ss, ww, d)
     model["tree"] = {
@@ -296,14 +298,14 @@ def _suffix_states(levels: list[dict], keeps: list[np.ndarray], s: np.ndarray, w
     at = s
     for k in range(d - 1, 0, -1):
         code = levels[k]["codes"][at]
-        words.insert(0, code & ((1 << 24) - 1))
-        at = code >> 24
+        words.insert(0, code & ((1 << WORD_BITS) - 1))
+        at = code >> WORD_BITS
     # words now holds the last d words of each context, oldest first
     out = np.full(len(w), -1, np.int64)
     for size in range(1, d + 1):
         state = _find(levels[0]["codes"], levels[0]["numbers"], words[d - size])
         for k in range(1, size):
-            state = _find(levels[k]["codes"], levels[k]["numbers"], np.where(state >= 0, state << np.int64(24) | words[d - size + k], -1))
+            state = _find(levels[k]["codes"], levels[k]["numbers"], np.where(state >= 0, state << np.int64(WORD_BITS) | words[d - size + k], -1))
         kept = keeps[size - 1]
         g = np.where(state >= 0, kept[np.maximum(state, 0)], -1) if len(kept) else np.full(len(w), -1)
         out = np.where(g >= 0, g, out)

@@ -250,6 +250,15 @@ def test_neighbours(spark):
     assert hits / 600 >= 0.9 and set(got.query_id) == set(range(0, 600, 20))
 
 
+def test_suffix_tree_learns_what_is_seen_twice_in_any_corpus(spark):
+    rare = "one rare phrase of words seen twice"
+    rows = [(k, "some common filler text goes on " * 3500) for k in range(60)] + [(100, rare), (101, rare)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = suffix_tree.build(df, F.lit(True))
+    (got,) = suffix_tree.score(df.filter("doc_id = 101"), model).collect()
+    assert got.train_tokens > 1_200_000 and got.score > got.base_score / 2
+
+
 @pytest.mark.parametrize("sd", [1e-3, 1e-5])
 def test_neighbours_among_near_copies(spark, tmp_path, sd):
     import pyarrow as pa
