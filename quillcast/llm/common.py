@@ -41,7 +41,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._shared_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again (all that was computed from them is written)."""
+    for df in tables:
+        path = getattr(df, "_shared_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def release() -> None:

@@ -1,12 +1,17 @@
 """Quality rules whose thresholds adapt to each language and source (DataFrame expressions only).
 
-``base_metrics`` measures whole texts. ``adaptive_thresholds`` summarises the measures in quantile
-sketches (Greenwald-Khanna, merged from partial ones) per (lang, source), per lang and over all, and
-turns quantiles into fences. ``verdicts`` joins the fences back and judges each row.
-
-Defined results: a null or blank text has no words and fails the base rules; null lang or source form
-groups of their own; repeated rows are judged alike, one verdict for each; an empty table gives an
-empty result; further columns pass through ``filter_documents`` untouched.
+``base_metrics`` measures whole texts. ``group_sketches`` summarises the measures in mergeable quantile sketches
+(KLL) per (lang, source); those of a language and of the whole table are merged from them. ``adaptive_thresholds`` turns
+quantiles into fences, and ``verdicts`` joins the fences back and judges each row.
+
+No cutoff is fixed. A fence is q90 + SPREAD * (q90 - q50) of its group, drawn towards the language's and that towards the whole
+table's by PRIOR_ROWS rows. A rate of x in n is only known between x / (n + DOUBT) and (x + DOUBT) / (n + DOUBT) (the imprecise Dirichlet
+model): fences are drawn from the upper bounds, and a row goes only if its lower bound is beyond the fence. So a group in which nearly every rate is 0
+still has a fence above 0, which depends on how long its texts are.
+
+Defined results: a null or blank text has no words and fails the base rules; very long texts are measured whole; null lang or source form
+groups of their own; repeated rows are judged alike, one verdict for each; where no row passes the base rules none is kept; an empty table gives an
+empty result; further columns, whatever their names, pass through ``filter_documents`` untouched.
 """
 
 from __future__ import annotations
@@ -14,17 +19,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import WORD_REGEX, fresh, let, materialize
+from quillcast.llm.common import WORD_REGEX, discard, fresh, let, materialize
 
-#: The measures that get a fence: q75 + SPREAD * (q75 - q50), and the floor at least.
-RATIOS = ("symbol_ratio", "mean_word_chars", "dup_line_ratio", "repeat_ratio")
-#: A fence is never tighter than this: the share or length that ordinary prose shows in any language.
-FLOORS = {"symbol_ratio": 0.03, "mean_word_chars": 10.0, "dup_line_ratio": 0.5, "repeat_ratio": 0.45}
-SPREAD = 6.0
+#: Rates and what they count: (part, whole). The mean length of words is a measure too, known exactly.
+RATES = {"symbol_rate": ("n_symbols", "word_chars"), "dup_line_rate": ("n_dup_lines", "n_lines"), "repeat_rate": ("n_repeat_words", "n_words")}
+MEASURES = (*RATES, "mean_word_chars")
+QUANTILES = (0.5, 0.9)
+SPREAD, DOUBT, PRIOR_ROWS = 4.0, 4.0, 100.0
 MIN_WORDS = 50
-#: Below so many measured rows a (lang, source) sketch yields to its language's, and that to the whole table's.
-MIN_GROUP = 40
-ACCURACY = 10000
+#: Sketches are exact up to about so many rows; beyond, ranks are off by some ten thousandths.
+SKETCH_K = 16384
 _POS_BITS = 24
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -103,85 +107,91 @@ def measures(text: Column) -> Column:
 
 
 def base_metrics(docs: DataFrame, into: str, text_col: str = "text") -> DataFrame:
-    """Add the struct ``into`` of measures, ratios and the base verdict to every row."""
+    """Add the struct ``into`` of measures and the base verdict to every row; ``low_`` and ``high_`` bound each measure."""
     (m,) = fresh(docs, "m")
     out = docs.withColumn(m, measures(F.col(text_col)))
     c = F.col(m)
-    chars = F.nullif(c["word_chars"], F.lit(0).cast("long"))
-    words = F.nullif(c["n_words"], F.lit(0).cast("long"))
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-    return out.withColumn(
-        into,
-        F.struct(
-            *[c[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-            failed.alias("base_failed"),
-            F.coalesce(c["n_symbols"] / chars, F.lit(0.0)).alias("symbol_ratio"),
-            F.coalesce(c["word_chars"] / words, F.lit(0.0)).alias("mean_word_chars"),
-            F.coalesce(c["n_dup_lines"] / F.nullif(c["n_lines"], F.lit(0).cast("long")), F.lit(0.0)).alias("dup_line_ratio"),
-            F.coalesce(c["n_repeat_words"] / words, F.lit(0.0)).alias("repeat_ratio"),
-        ),
-    ).drop(m)
-
-
-def adaptive_thresholds(rows: DataFrame, metrics: str = "q", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Fences by (lang, source): one row for each group seen, from the finest level with enough rows.
-
-    The sketches are aggregates that combine on the map side, so a source with a third of all rows costs
-    its tasks no more than others.
+    mean = F.coalesce(c["word_chars"] / F.nullif(c["n_words"], F.lit(0).cast("long")), F.lit(0.0))
+    bounds = []
+    for r, (part, whole) in RATES.items():
+        bounds += [(c[part] / (c[whole] + DOUBT)).alias(f"low_{r}"), ((c[part] + DOUBT) / (c[whole] + DOUBT)).alias(f"high_{r}")]
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+    struct = F.struct(*[c[x].alias(x) for x in counts], failed.alias("base_failed"), *bounds, mean.alias("low_mean_word_chars"), mean.alias("high_mean_word_chars"))
+    return out.withColumn(into, struct).drop(m)
+
+
+def group_sketches(rows: DataFrame, metrics: str = "q", lang: str = "lang", source: str = "source") -> DataFrame:
+    """(g_lang, g_source, s_<measure>) over rows that pass the base rules; empty sketches where none of a group does.
+
+    The sketches combine on the map side, so a source with a third of all rows costs its tasks no more than others.
     """
     q = F.col(metrics)
-    passed = rows.filter(~q["base_failed"]).select(
-        F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), *[q[r].alias(r) for r in RATIOS]
-    )
-    sketches = [F.percentile_approx(r, F.array(F.lit(0.5), F.lit(0.75)), ACCURACY).alias(f"s_{r}") for r in RATIOS]
-    counted = [F.count(F.lit(1)).alias("n"), *sketches]
-    seen = rows.select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source")).distinct()
-    fine, by_lang, all_ = passed.groupBy("g_lang", "g_source").agg(*counted), passed.groupBy("g_lang").agg(*counted), passed.agg(*counted)
-    fine = fine.select(F.col("g_lang").alias("f_lang"), F.col("g_source").alias("f_source"), F.struct("n", *[f"s_{r}" for r in RATIOS]).alias("fine"))
-    by_lang = by_lang.select(F.col("g_lang").alias("l_lang"), F.struct("n", *[f"s_{r}" for r in RATIOS]).alias("by_lang"))
-    all_ = all_.select(F.struct("n", *[f"s_{r}" for r in RATIOS]).alias("whole"))  # one row
-    joined = (
-        seen.join(fine, F.col("g_lang").eqNullSafe(F.col("f_lang")) & F.col("g_source").eqNullSafe(F.col("f_source")), "left")
-        .join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")), "left")
-        .join(F.broadcast(all_), F.lit(True), "left")
-    )
+    value = lambda r: F.when(~q["base_failed"], q[f"high_{r}"])  # noqa: E731  (sketches skip nulls)
+    made = [F.kll_sketch_agg_double(value(r), F.lit(SKETCH_K)).alias(f"s_{r}") for r in MEASURES]
+    return rows.groupBy(F.col(lang).alias("g_lang"), F.col(source).alias("g_source")).agg(*made)
 
-    def fence(r: str) -> Column:
-        s = (
-            F.when(F.col("fine.n") >= MIN_GROUP, F.col(f"fine.s_{r}"))
-            .when(F.col("by_lang.n") >= MIN_GROUP, F.col(f"by_lang.s_{r}"))
-            .otherwise(F.col(f"whole.s_{r}"))
-        )
-        adapted = F.get(s, 1) + SPREAD * (F.get(s, 1) - F.get(s, 0))
-        return F.greatest(F.lit(FLOORS[r]), F.coalesce(adapted, F.lit(0.0))).alias(f"max_{r}")
 
-    return joined.select("g_lang", "g_source", *[fence(r) for r in RATIOS])
+def _fences(sketches: list[str]) -> list[Column]:
+    """The number of rows behind the sketches, and each measure's own fence (null from an empty sketch)."""
+    n = F.kll_sketch_get_n_double(sketches[0])
+    at = F.array(*[F.lit(x) for x in QUANTILES])
+
+    def fence(s: str) -> Column:
+        q = F.when(n > 0, F.kll_sketch_get_quantile_double(s, at))
+        return F.get(q, F.lit(1)) + SPREAD * (F.get(q, F.lit(1)) - F.get(q, F.lit(0)))
+
+    return [n.cast("double").alias("n"), *[fence(s).alias(r) for s, r in zip(sketches, MEASURES, strict=True)]]
+
+
+def adaptive_thresholds(sketches: DataFrame) -> DataFrame:
+    """(g_lang, g_source, fences): one row for each group seen. The sketches of wider levels are merged from the groups'."""
+    names = [f"s_{r}" for r in MEASURES]
+    merged = [F.kll_merge_agg_double(s, F.lit(SKETCH_K)).alias(s) for s in names]
+    langs = sketches.groupBy("g_lang").agg(*merged)
+    own = sketches.select("g_lang", "g_source", F.struct(*_fences(names)).alias("own"))
+    by_lang = langs.select(F.col("g_lang").alias("l_lang"), F.struct(*_fences(names)).alias("by_lang"))
+    whole = langs.agg(*merged).select(F.struct(*_fences(names)).alias("whole"))  # one row
+    joined = own.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(whole), F.lit(True), "left")
+
+    def drawn(level: str, r: str, wider: Column) -> Column:
+        n = F.col(f"{level}.n")
+        return (n * F.coalesce(F.col(f"{level}.{r}"), F.lit(0.0)) + PRIOR_ROWS * wider) / (n + PRIOR_ROWS)
+
+    fences = [drawn("own", r, drawn("by_lang", r, F.col(f"whole.{r}"))).alias(r) for r in MEASURES]
+    return joined.select("g_lang", "g_source", F.struct(*fences).alias("fences"))
 
 
 def verdicts(rows: DataFrame, fences: DataFrame, into: str, metrics: str = "q", lang: str = "lang", source: str = "source") -> DataFrame:
     """Join the fences to the rows and add ``into``: does the row keep its place?"""
-    q = F.col(metrics)
-    joined = rows.join(fences, F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left")
-    inside = [q[r] <= F.col(f"max_{r}") for r in RATIOS]
-    keep = ~q["base_failed"]
-    for x in inside:
-        keep = keep & F.coalesce(x, F.lit(True))
-    return joined.withColumn(into, keep)
+    g_lang, g_source, limits = fresh(rows, "g_lang", "g_source", "fences")
+    named = fences.toDF(g_lang, g_source, limits)
+    joined = rows.join(named, F.col(lang).eqNullSafe(F.col(g_lang)) & F.col(source).eqNullSafe(F.col(g_source)), "left")
+    keep = ~F.col(metrics)["base_failed"]
+    for r in MEASURES:
+        keep = keep & F.coalesce(F.col(metrics)[f"low_{r}"] <= F.col(limits)[r], F.lit(False))
+    return joined.withColumn(into, keep).drop(g_lang, g_source, limits)
+
+
+def _judged(measured: DataFrame, into: str, metrics: str, lang: str, source: str) -> DataFrame:
+    sketches = materialize(group_sketches(measured, metrics, lang, source), "sketches")
+    fences = materialize(adaptive_thresholds(sketches), "fences")
+    discard(sketches)
+    return verdicts(measured, fences, into, metrics, lang, source)
 
 
 def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``."""
     q, keep = fresh(docs, "q", "keep")
     measured = materialize(base_metrics(docs, q, text), "quality")
-    fences = materialize(adaptive_thresholds(measured, q, lang, source), "fences")
-    judged = verdicts(measured, fences, keep, q, lang, source)
-    return judged.filter(F.col(keep)).select(*docs.columns)
+    return _judged(measured, keep, q, lang, source).filter(F.col(keep)).select(*docs.columns)
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """doc_id, the base counts, base_failed and kept for every row; the texts are read once."""
+    """doc_id, the base counts, base_failed, the bounds and kept for every row; the texts are read once."""
     slim = base_metrics(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source")), "q")
     measured = materialize(slim.drop("text"), "quality")
-    fences = materialize(adaptive_thresholds(measured), "fences")
-    out = verdicts(measured, fences, "kept")
-    return out.select("doc_id", "q.*", "kept")
+    low = [f"low_{r}" for r in MEASURES]
+    return _judged(measured, "kept", "q", "lang", "source").select(
+        "doc_id", *[F.col("q")[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *low)], "kept"
+    )

@@ -79,18 +79,17 @@ QUERIES = {
 }
 
 
-def _fences(level: str) -> str:
-    return f"quantile_disc({level}, 0.75) + {quality.SPREAD} * (quantile_disc({level}, 0.75) - quantile_disc({level}, 0.5)) AS f_{level}"
-
-
 def _quality_sql() -> str:
     """The measures in SQL, with exact quantiles for the sketches (which are exact up to several thousand rows a group)."""
-    fences = ", ".join(_fences(r) for r in quality.RATIOS)
-    chosen = ", ".join(
-        f"greatest({quality.FLOORS[r]}, coalesce(CASE WHEN fine.n >= {quality.MIN_GROUP} THEN fine.f_{r} WHEN l.n >= {quality.MIN_GROUP} THEN l.f_{r} ELSE a.f_{r} END, 0.0)) AS max_{r}"
-        for r in quality.RATIOS
-    )
-    inside = " AND ".join(f"{r} <= max_{r}" for r in quality.RATIOS)
+    low, high = {"mean_word_chars": "mean_word_chars"}, {"mean_word_chars": "mean_word_chars"}
+    for r, (part, whole) in quality.RATES.items():
+        low[r], high[r] = f"{part} / ({whole} + {quality.DOUBT})", f"({part} + {quality.DOUBT}) / ({whole} + {quality.DOUBT})"
+    middle, upper = quality.QUANTILES
+    q = lambda r, x: f"quantile_disc({high[r]}, {x}) FILTER (NOT base_failed)"
+    fences = "count(*) FILTER (NOT base_failed)::DOUBLE AS n, " + ", ".join(f"{q(r, upper)} + {quality.SPREAD} * ({q(r, upper)} - {q(r, middle)}) AS f_{r}" for r in quality.MEASURES)
+    drawn = lambda t, r, wider: f"(({t}.n * coalesce({t}.f_{r}, 0.0::DOUBLE) + {quality.PRIOR_ROWS}::DOUBLE * {wider}) / ({t}.n + {quality.PRIOR_ROWS}::DOUBLE))"
+    chosen = ", ".join(drawn("fine", r, drawn("l", r, f"a.f_{r}")) + f" AS max_{r}" for r in quality.MEASURES)
+    inside = " AND ".join(f"coalesce({low[r]} <= max_{r}, false)" for r in quality.MEASURES)
     counts = "n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words"
     return rf"""WITH t AS (SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
  w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
@@ -101,13 +100,11 @@ def _quality_sql() -> str:
  m AS (SELECT doc_id, lang, source, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN r USING (k)),
- q AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(n_symbols / nullif(word_chars, 0), 0.0) AS symbol_ratio,
- coalesce(word_chars / nullif(n_words, 0), 0.0) AS mean_word_chars, coalesce(n_dup_lines / nullif(n_lines, 0), 0.0) AS dup_line_ratio, coalesce(n_repeat_words / nullif(n_words, 0), 0.0) AS repeat_ratio FROM m),
- fine AS (SELECT lang, source, count(*) AS n, {fences} FROM q WHERE NOT base_failed GROUP BY lang, source), l AS (SELECT lang, count(*) AS n, {fences} FROM q WHERE NOT base_failed GROUP BY lang),
- a AS (SELECT {fences} FROM q WHERE NOT base_failed),
- s AS (SELECT g.lang, g.source, {chosen} FROM (SELECT DISTINCT lang, source FROM q) g LEFT JOIN fine ON g.lang IS NOT DISTINCT FROM fine.lang AND g.source IS NOT DISTINCT FROM fine.source
- LEFT JOIN l ON g.lang IS NOT DISTINCT FROM l.lang CROSS JOIN a)
- SELECT doc_id, {counts}, base_failed, {", ".join(quality.RATIOS)}, NOT base_failed AND {inside} AS kept FROM q JOIN s ON q.lang IS NOT DISTINCT FROM s.lang AND q.source IS NOT DISTINCT FROM s.source"""
+ q AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(word_chars / nullif(n_words, 0), 0.0) AS mean_word_chars FROM m),
+ fine AS (SELECT lang, source, {fences} FROM q GROUP BY lang, source), l AS (SELECT lang, {fences} FROM q GROUP BY lang), a AS (SELECT {fences} FROM q),
+ s AS (SELECT fine.lang, fine.source, {chosen} FROM fine LEFT JOIN l ON fine.lang IS NOT DISTINCT FROM l.lang CROSS JOIN a)
+ SELECT doc_id, {counts}, base_failed, {", ".join(f"{low[r]} AS low_{r}" for r in quality.MEASURES)}, NOT base_failed AND {inside} AS kept
+ FROM q JOIN s ON q.lang IS NOT DISTINCT FROM s.lang AND q.source IS NOT DISTINCT FROM s.source"""
 
 
 def _chat_sql() -> str:
