@@ -1,14 +1,16 @@
 """URL filters: listed rules first, then gradient-boosted trees on lexical features (DataFrame expressions only).
 
-Boosting runs on aggregates: features are cut into a few bins, and each level of a tree needs one grouped sum of
-gradients and curvatures by (node, feature, bin), whose result has a bounded number of rows. The trees become
-one arithmetic expression that Spark compiles, so scoring is a plain projection.
+Labels are a Column (1 block, 0 allow, null unknown); by default the rules give them. Besides the shape of the URL, features are
+statistics of its suffix (the host's last two labels) and of its first path segment: the smoothed share of blocked ones and how many there are, counted over
+all labelled rows. A training row's own fold is left out of its statistics, and each training row is seen twice,
+once as if its suffix had never been labelled, so the trees also learn to judge suffixes they know nothing of.
 
-Training uses a bounded sample of labelled URLs (``sample_rows``); the rules supply the labels.
+The trees are fitted on a bounded sample of labelled URLs (``sample_rows``) by histograms of binned features, in the driver. They become
+one arithmetic expression that Spark compiles, so scoring is a plain projection.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule and is judged by the model on the
-features of its text (of the empty text when null); without both labels the model allows everything; repeated
-rows are judged alike; an empty table gives an empty result; other columns are ignored.
+features of its text (of the empty text when null); without both labels the model allows everything, or blocks everything where all labels say so; very
+long URLs are read whole; repeated rows are judged alike; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,15 +18,18 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import cell_of, materialize
+from quillcast.llm.common import materialize
 
 #: (verdict, host, path): a rule fits its host and all subdomains where the URL's path starts with the rule's.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-FEATURES = ("length", "host_length", "depth", "digit_ratio", "entropy", "params", "labels", "hyphens", "suffix_rate", "suffix_log_n")
-BINS = 16
+LEXICAL = ("length", "host_length", "depth", "digit_ratio", "entropy", "params", "labels", "hyphens")
+GROUPS = ("suffix", "segment")
+FEATURES = (*LEXICAL, *[f"{g}_{x}" for g in GROUPS for x in ("rate", "log_n")])
+BINS, FOLDS, PRIOR_ROWS = 32, 5, 4.0
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -62,6 +67,11 @@ def suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
+def segment(path: Column) -> Column:
+    """The first segment of a path, without slashes."""
+    return F.regexp_extract(path, r"^/*([^/]*)", 1)
+
+
 def lexical(url: Column, host: Column, path: Column) -> list[Column]:
     u = F.coalesce(url, F.lit(""))
     n = F.greatest(F.length(u), F.lit(1))
@@ -78,117 +88,115 @@ def lexical(url: Column, host: Column, path: Column) -> list[Column]:
     ]
 
 
-def _suffix_stats(labelled: DataFrame) -> DataFrame:
-    """Smoothed share of blocked URLs and log count by suffix, from all labelled rows."""
-    g = labelled.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("bad"))
-    return g.select(F.col("suffix").alias("s_suffix"), ((F.col("bad") + 1) / (F.col("n") + 2)).alias("suffix_rate"), F.log1p(F.col("n").cast("double")).alias("suffix_log_n"))
+def group_statistics(labelled: DataFrame, group: str) -> DataFrame:
+    """(key, n, bad, and both by fold) of each value of ``group``, from all labelled rows (columns y and fold)."""
+    in_fold = [F.count_if(F.col("fold") == k) for k in range(FOLDS)]
+    bad_in_fold = [F.count_if((F.col("fold") == k) & (F.col("y") == 1)) for k in range(FOLDS)]
+    return labelled.groupBy(F.col(group).alias(f"k_{group}")).agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.sum("y").alias("bad"), F.array(*in_fold).alias("ns"), F.array(*bad_in_fold).alias("bads")).alias(f"s_{group}")
+    )
+
+
+def with_statistics(rows: DataFrame, tables: dict[str, DataFrame], prior: float, leave_out: bool) -> DataFrame:
+    """Add each group's rate and log count; with ``leave_out`` without the rows of the own fold."""
+    for g, table in tables.items():
+        rows = rows.join(table, F.col(g) == F.col(f"k_{g}"), "left")
+        s = F.col(f"s_{g}")
+        n, bad = F.coalesce(s["n"], F.lit(0)), F.coalesce(s["bad"], F.lit(0))
+        if leave_out:
+            n, bad = n - F.coalesce(F.get(s["ns"], F.col("fold")), F.lit(0)), bad - F.coalesce(F.get(s["bads"], F.col("fold")), F.lit(0))
+        rows = rows.withColumns({f"{g}_rate": (bad + PRIOR_ROWS * prior) / (n + PRIOR_ROWS), f"{g}_log_n": F.log1p(n.cast("double"))}).drop(f"k_{g}", f"s_{g}")
+    return rows
 
 
 class BoostedTrees:
-    """Additive trees over binned features; ``margin`` is their sum as one column."""
+    """Additive trees: (feature, threshold, low, high) or a leaf's value; ``margin`` is their sum as one column."""
 
-    def __init__(self, base: float, edges: dict[str, list[float]]):
-        self.base, self.edges, self.trees = base, edges, []
+    def __init__(self, base: float, features: tuple[str, ...] = FEATURES):
+        self.base, self.features, self.trees = base, features, []
 
-    def margin(self, binned: bool = False) -> Column:
+    def margin(self) -> Column:
         def node(t) -> Column:
             if not isinstance(t, tuple):
                 return F.lit(float(t))
             f, cut, low, high = t
-            test = F.col(f"b_{f}") <= cut if binned else F.col(f) <= self.edges[f][cut]
-            return F.when(test, node(low)).otherwise(node(high))
+            return F.when(F.col(self.features[f]) <= cut, node(low)).otherwise(node(high))
 
         return reduce(lambda a, t: a + node(t), self.trees, F.lit(self.base))
 
 
-def train(sample: DataFrame, trees: int = 10, depth: int = 3, rate: float = 0.4, l2: float = 1.0, bins: int = BINS) -> BoostedTrees:
-    """Logistic boosting on ``sample`` (the features and y, 0 or 1) by histograms that Spark aggregates."""
-    at = [(i + 1) / bins for i in range(bins - 1)]
-    row = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("bad"), *[F.percentile_approx(f, at, 1000).alias(f) for f in FEATURES]).first()
-    n, bad = row["n"] or 0, row["bad"] or 0
-    edges = {f: sorted({float(x) for x in row[f] or []}) for f in FEATURES}
+def train(x: np.ndarray, y: np.ndarray, w: np.ndarray, trees: int = 24, depth: int = 3, rate: float = 0.3, l2: float = 1.0, bins: int = BINS, features: tuple[str, ...] = FEATURES) -> BoostedTrees:
+    """Logistic boosting of rows of weight ``w`` by second-order gains over histograms; ties go to the first feature and the lowest threshold."""
+    n, bad = float(w.sum()), float((w * y).sum())
     if not 0 < bad < n:
-        return BoostedTrees(-10.0 if not bad else 10.0, edges) if n else BoostedTrees(-10.0, edges)
-    model = BoostedTrees(math.log(bad / (n - bad)), edges)
-    cut = [cell_of(F.col(f), edges[f]).alias(f"b_{f}") for f in FEATURES]
-    binned = materialize(sample.select("y", *cut).groupBy("y", *[f"b_{f}" for f in FEATURES]).agg(F.count(F.lit(1)).alias("w")).coalesce(4), "binned")
+        return BoostedTrees(10.0 if n and bad else -10.0, features)
+    model = BoostedTrees(math.log(bad / (n - bad)), features)
+    edges = [np.unique(np.quantile(c, [(i + 1) / bins for i in range(bins - 1)], method="inverted_cdf")) for c in x.T]
+    binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T, strict=True)])
+    score = np.full(len(y), model.base)
+
+    def grow(rows: np.ndarray, g: np.ndarray, h: np.ndarray, left: int):
+        gs, hs = g[rows].sum(), h[rows].sum()
+        best, gain = None, 1e-6
+        for f in range(len(edges)) if left else ():
+            gl, hl = (np.cumsum(np.bincount(binned[f, rows], v[rows], len(edges[f]) + 1))[:-1] for v in (g, h))
+            inner = np.bincount(binned[f, rows], minlength=len(edges[f]) + 1).cumsum()[:-1]
+            now = gl**2 / (hl + l2) + (gs - gl) ** 2 / (hs - hl + l2) - gs**2 / (hs + l2)
+            now = np.where((inner > 0) & (inner < len(rows)), now, -1.0)
+            if len(now) and now.max() > gain + 1e-9:
+                best, gain = (f, int(now.argmax())), now.max()
+        if best is None:
+            value = -gs / (hs + l2) * rate
+            score[rows] += value
+            return float(value)
+        f, cut = best
+        low = binned[f, rows] <= cut
+        return f, float(edges[f][cut]), grow(rows[low], g, h, left - 1), grow(rows[~low], g, h, left - 1)
+
     for _ in range(trees):
-        p = 1 / (1 + F.exp(-model.margin(binned=True)))
-        grads = binned.select("*", ((p - F.col("y")) * F.col("w")).alias("g"), (p * (1 - p) * F.col("w")).alias("h"))
-        tree: dict[int, tuple[str, int]] = {}
-        value: dict[int, float] = {}
-        open_ = {1}
-        for level in range(depth + 1):
-            node = _node_of(tree)
-            cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"b_{f}").cast("int").alias("b")) for f in FEATURES])).alias("c")
-            hist = grads.select(node.alias("node"), "g", "h", cells).groupBy("node", "c.f", "c.b").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-            found = _best_splits(hist.collect(), l2, splits=level < depth)  # at most nodes * features * bins rows
-            for k, (best, leaf) in found.items():
-                if k in open_:
-                    value[k] = leaf * rate
-                    if best:
-                        tree[k] = best
-            open_ = {c for k in open_ if k in tree for c in (2 * k, 2 * k + 1)}
-            if not open_:
-                break
-
-        def grown(k: int):
-            return (*tree[k], grown(2 * k), grown(2 * k + 1)) if k in tree else value.get(k, 0.0)
-
-        model.trees.append(grown(1))
+        p = 1 / (1 + np.exp(-score))
+        model.trees.append(grow(np.arange(len(y)), w * (p - y), w * p * (1 - p), depth))
     return model
 
 
-def _node_of(tree: dict[int, tuple[str, int]], k: int = 1) -> Column:
-    if k not in tree:
-        return F.lit(k)
-    f, cut = tree[k]
-    return F.when(F.col(f"b_{f}") <= cut, _node_of(tree, 2 * k)).otherwise(_node_of(tree, 2 * k + 1))
+def training_set(sample: list, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and weights of the sampled rows, then of the same rows with an unknown suffix."""
+    x = np.array([[r[f] for f in FEATURES] for r in sample], float).reshape(-1, len(FEATURES))
+    unknown = x.copy()
+    unknown[:, [FEATURES.index("suffix_rate"), FEATURES.index("suffix_log_n")]] = prior, 0.0
+    y, w = (np.array([r[c] for r in sample], float) for c in ("y", "w"))
+    return np.concatenate([x, unknown]), np.concatenate([y, y]), np.concatenate([w, w])
 
 
-def _best_splits(hist, l2: float, splits: bool) -> dict:
-    """For each node: its best (feature, bin) or None, and its leaf value."""
-    nodes: dict[int, dict[str, list]] = {}
-    for r in hist:
-        nodes.setdefault(r["node"], {}).setdefault(r["f"], []).append((r["b"], r["g"], r["h"]))
-    out = {}
-    for k, by in nodes.items():
-        some = next(iter(by.values()))
-        g, h = sum(x[1] for x in some), sum(x[2] for x in some)
-        best, gain = None, 1e-6
-        for f in FEATURES:
-            cells, gl, hl = sorted(by.get(f, [])), 0.0, 0.0
-            for b, bg, bh in cells[:-1]:
-                gl, hl = gl + bg, hl + bh
-                now = gl * gl / (hl + l2) + (g - gl) ** 2 / (h - hl + l2) - g * g / (h + l2)
-                if now > gain and splits:
-                    best, gain = (f, b), now
-        out[k] = (best, -g / (h + l2))
-    return out
-
-
-def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RULES, sample_rows: int = 20_000) -> DataFrame:
-    """page_id, host, path, rule, verdict and the model's block probability for every row."""
+def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RULES, label: Column | None = None, sample_rows: int = 20_000) -> DataFrame:
+    """page_id, host, path, rule, verdict and the model's block probability for every row.
+
+    ``label`` is a Column over ``pages``; where it is left out, the rules' verdicts are the labels.
+    """
     u = F.col(url)
     host, path = host_and_path(u)
     rule, fixed = apply_rules(F.col("host"), F.col("path"), rules)
+    given = F.lit(None).cast("int") if label is None else label.cast("int")
     rows = (
-        pages.select(F.col(page_id).alias("page_id"), u.alias("u"), host.alias("host"), path.alias("path"))
-        .select("*", rule.alias("rule"), fixed.alias("fixed"), suffix(F.col("host")).alias("suffix"))
+        pages.select(F.col(page_id).alias("page_id"), u.alias("u"), host.alias("host"), path.alias("path"), given.alias("given"))
+        .select("*", rule.alias("rule"), fixed.alias("fixed"), suffix(F.col("host")).alias("suffix"), segment(F.col("path")).alias("segment"))
+        .withColumn("y", F.when(F.col("fixed").isNotNull(), (F.col("fixed") == "block").cast("int")) if label is None else F.col("given"))
+        .withColumn("fold", F.pmod(F.xxhash64("u"), F.lit(FOLDS)).cast("int"))
     )
-    labelled = rows.filter(F.col("fixed").isNotNull()).withColumn("y", (F.col("fixed") == "block").cast("int"))
-    stats = materialize(_suffix_stats(labelled), "suffixes")
-    total = labelled.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    bucket = F.pmod(F.xxhash64("page_id", "u"), F.lit(1_000_000)) < int(share * 1_000_000)
-
-    def featured(df: DataFrame) -> DataFrame:
-        known = df.select("*", *lexical(F.col("u"), F.col("host"), F.col("path"))).join(stats, F.col("suffix") == F.col("s_suffix"), "left")
-        return known.withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(0.5))).withColumn("suffix_log_n", F.coalesce("suffix_log_n", F.lit(0.0)))
-
-    sample = materialize(featured(labelled.filter(bucket)).select("y", *FEATURES), "urls")
-    model = train(sample)
-    block = 1 / (1 + F.exp(-model.margin()))
-    scored = featured(rows).withColumn("p_block", block)
+    labelled = rows.filter(F.col("y").isNotNull())
+    tables = {g: materialize(group_statistics(labelled, g), f"url-{g}") for g in GROUPS}
+    counted = tables["suffix"].agg(F.sum("s_suffix.n").alias("n"), F.sum("s_suffix.bad").alias("bad")).first()
+    n, bad = counted["n"] or 0, counted["bad"] or 0
+    prior = bad / n if n else 0.0
+    some = F.pmod(F.xxhash64("page_id", "u", F.lit("sample")), F.lit(1_000_000)) < math.ceil(min(1.0, sample_rows / max(n, 1)) * 1_000_000)
+
+    def featured(df: DataFrame, leave_out: bool) -> DataFrame:
+        return with_statistics(df.select("*", *lexical(F.col("u"), F.col("host"), F.col("path"))), tables, prior, leave_out)
+
+    # about sample_rows rows, whatever the table's size; repeated ones come as one with their number
+    sample = featured(labelled.filter(some), True).groupBy("y", *FEATURES).agg(F.count(F.lit(1)).alias("w")).collect() if 0 < bad < n else []
+    sample.sort()
+    model = train(*training_set(sample, prior)) if sample else BoostedTrees(10.0 if n and bad == n else -10.0)
+    scored = featured(rows, False).withColumn("p_block", 1 / (1 + F.exp(-model.margin())))
     verdict = F.coalesce("fixed", F.when(F.col("p_block") > 0.5, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "p_block")
