@@ -58,7 +58,7 @@ def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(crc_text(F.col("doc_id")), F.lit(5)) == 1
-    scored = suffix_tree.score(docs, suffix_tree.build(docs, ~held_out))
+    scored = suffix_tree.score(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -1,49 +1,51 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
-Symbols are lower-cased words and one end per text. A state is a context of up to ``DEPTH`` words. As in the
-original learning algorithm, contexts are tried from short to long, only those seen
-``LEAST`` times or more, and a context is retained when the divergence of its next-symbol distribution from that of its
-longest retained suffix, times its count, passes ``DIVERGENCE``. So states and
-next-symbol entries grow with the corpus, and so do the arrays that hold them in the driver and in every task; the root's distribution is over all words of the corpus.
-
-A state's distribution: each kept entry has its discounted share, the rest goes to the other symbols in proportion to the
-longest retained suffix's distribution (down to the root's additive smoothing), so every distribution sums to one.
-
-Counts come from every training text. Words seen ``LEAST`` times or more get numbers that all tasks know; the
-counts of rarer words, which are in no context or entry, stay in a table and are joined. A text's score is the sum over its symbols from the longest suffix state of its history.
-
-Defined results: null and blank texts have the end only; repeated rows are scored alike and all counted in training; with no training
-texts N and V are 0 and the score equals the base score; an empty table gives an empty result; other columns are ignored.
+Symbols are lower-cased words and one end per text. A state is a context of up to ``DEPTH`` words that training saw ``LEAST`` times or
+more and whose next-symbol counts differ from those of its suffix (the context without its oldest word): it is retained when the
+divergence of the two empirical distributions over the kept entries, times its count, is ``DIVERGENCE`` or more. An entry (state, next word) is kept when it was
+seen ``LEAST`` times or more. These are counts, not shares, so states and entries grow with the corpus.
+
+A state's distribution: each kept entry has its discounted share, and what is left goes to all symbols by the distribution of the
+longest retained suffix, down to the root's additive smoothing over all words; so every distribution sums to one. A text's score is the sum
+over its symbols from the longest suffix state of its history.
+
+No task and no driver holds the tree. Texts become bundles of numbered words, written once. Each position sends its last four words to the task of
+its previous word, in packed blocks; all contexts that end in this word, the branch of the tree, live there, are counted, tested and used there,
+and only the texts' sums leave. Words more frequent than a task should hold are split by the next word; as all
+statistics of a state are sums over next words, the splits exchange them first.
+
+Defined results: null and blank texts have the end only; very long texts are one bundle each; repeated rows are scored alike and all counted in
+training; null ids stay; with no training texts N and V are 0 and the score equals the base score; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import Lean, materialize
+from quillcast.llm.common import Lean, discard, materialize, ranked, release
 
 DEPTH = 3
 LEAST = 2
-#: Bits of a word's number, beside a context's number of 63 - WORD_BITS.
-WORD_BITS = 28
 DISCOUNT, DIVERGENCE = 0.75, 4.0
 END = b"\n"  # no word holds a line break
-CACHE_WORDS, COUNTER_WORDS, TOKENS_AT_ONCE = 400_000, 400_000, 800_000
-_TOP = -(1 << 63)
+#: Tokens of a bundle of texts, and positions that one task holds of a branch.
+BUNDLE_TOKENS, PART_WINDOWS = 400_000, 750_000
+_TOTALS = "part long, d int, w1 long, w2 long, w3 long, c long, kept long, entries long, gain double"
 
 
 def word_hash(word: bytes) -> int:
-    """A negative 64-bit number for each word."""
+    """A signed 64-bit number for each word."""
     import xxhash
 
-    return _TOP | (xxhash.xxh3_64_intdigest(word) & 0x7FFFFFFFFFFFFFFF)
+    h = xxhash.xxh3_64_intdigest(word)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -52,301 +54,275 @@ def tokens(text: bytes | None) -> list[bytes]:
     return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+def _packed(*columns: np.ndarray) -> bytes:
+    """Unsigned 32-bit columns of equal length as compressed byte planes."""
+    import zstandard
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([word_hash(w) for w in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], ["h", "c"]
-        )
-        counts.clear()
-        return out
+    planes = [np.ascontiguousarray(c, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
-    for batch in batches:
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-            if len(counts) > COUNTER_WORDS:
-                yield flush()
-    yield flush()
 
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    """The columns of ``_packed`` as rows of an array."""
+    import zstandard
 
-class Vocabulary(dict):
-    """Word -> its number if common, its (negative) hash otherwise; remembered up to a bound."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(-1, 4, n).transpose(0, 2, 1)).view("<u4").reshape(-1, n)
 
-    def __init__(self, hashes: np.ndarray):
-        super().__init__()
-        self.numbers = dict(zip(hashes.tolist(), range(len(hashes)), strict=True))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        h = word_hash(word)
-        value = self[word] = self.numbers.get(h, h)
-        return value
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as word places in a bundle's own sorted list of word hashes, with each word's training count."""
+    from pyspark import TaskContext
 
-    def ids(self, text: bytes | None) -> np.ndarray:
-        words = tokens(text)
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    number = TaskContext.get().partitionId() << 32
+    docs, learn, sizes, flat, place = [], [], [], [], {}
 
+    def flush() -> pa.RecordBatch:
+        nonlocal number
+        hashes = np.array([word_hash(w) for w in place], np.int64)
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at = rank[np.array(flat, np.int64)]
+        counts = np.bincount(at[np.repeat(np.array(learn, bool), sizes)], minlength=len(order))
+        lists = pa.array([docs], pa.list_(pa.int64())), pa.array([learn], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32()))
+        words = pa.array([hashes[order]], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))
+        out = pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists, *words, pa.array([_packed(at)], pa.binary())], ["bundle", "docs", "learn", "sizes", "words", "counts", "data"])
+        number += 1
+        for x in (docs, learn, sizes, flat, place):
+            x.clear()
+        return out
 
-def _bundles(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Vocabulary):
-    """Concatenated word ids of several texts at a time, with the texts' lengths."""
-    ids, size = [], 0
     for batch in batches:
-        for text in batch.column(column):
-            ids.append(vocabulary.ids(text.as_py()))
-            size += len(ids[-1])
-            if size > TOKENS_AT_ONCE:
-                yield ids
-                ids, size = [], 0
-    if ids:
-        yield ids
-
-
-def states_of(flat: np.ndarray, first: np.ndarray, levels: list[dict]) -> Iterator[np.ndarray]:
-    """For each depth in turn, the number of each token's history of exactly that many words among the level's contexts, or -1.
-
-    ``first`` is each token's distance from its text's start. A context of depth d is (its number at depth
-    d - 1 of the earlier words, next word); contexts are looked up by sorted codes, those of one word by a table.
-    """
-    n = len(flat)
-    prev = np.full(n, -1, np.int64)
-    prev[1:] = flat[:-1]
-    state = np.full(n, -1, np.int64)  # history before each token
-    for d, level in enumerate(levels):
-        if not d:
-            codes = level["codes"]
-            table = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)
-            table[codes] = level["numbers"]
-            # words beyond the table, rare ones and none at all read its last place, which is -1
-            known = (first >= 1) & (prev >= 0) & (prev < len(table))
-            state = table[np.where(known, prev, -1)]
-        else:
-            earlier = np.full(n, -1, np.int64)
-            earlier[1:] = state[:-1]
-            state = _find(level["codes"], level["numbers"], np.where((first >= d + 1) & (prev >= 0) & (earlier >= 0), earlier << np.int64(WORD_BITS) | prev, -1))
-        yield state
-
-
-def contexts_of(flat: np.ndarray, first: np.ndarray, levels: list[dict], depth: int) -> np.ndarray:
-    """The states of ``depth`` words."""
-    *_, state = states_of(flat, first, levels[:depth])
-    return state
-
-
-def _find(codes: np.ndarray, numbers: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    out = np.full(len(wanted), -1, np.int64)
-    if len(codes):
-        (some,) = np.nonzero(wanted >= 0)
-        asked = wanted[some]
-        i = np.minimum(np.searchsorted(codes, asked), len(codes) - 1)
-        hit = codes[i] == asked
-        out[some[hit]] = numbers[i[hit]]
-    return out
-
-
-def _starts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    flat, sizes = np.concatenate(ids), np.array([len(x) for x in ids])
-    offset = np.cumsum(sizes) - sizes
-    return flat, np.arange(len(flat)) - np.repeat(offset, sizes), offset
-
-
-def _next_counts(batches: Iterator[pa.RecordBatch], hashes, levels, depth: int) -> Iterator[pa.RecordBatch]:
-    """Counts of (context of ``depth`` words, next common word), added up over many texts at a time."""
-    vocabulary = Vocabulary(hashes)
-    for ids in _bundles(batches, 0, vocabulary):
-        flat, first, _ = _starts(ids)
-        state = contexts_of(flat, first, levels, depth)
-        ok = (state >= 0) & (flat >= 0)
-        codes, counts = np.unique(state[ok] << np.int64(WORD_BITS) | flat[ok], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], ["code", "c"])
+        for doc, may, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            words = tokens(text.as_py())
+            flat += [place.setdefault(w, len(place)) for w in words]
+            docs.append(doc)
+            learn.append(bool(may))
+            sizes.append(len(words))
+            if len(flat) >= BUNDLE_TOKENS:
+                yield flush()
+    if docs:
+        yield flush()
 
 
-def _score(batches: Iterator[pa.RecordBatch], hashes, levels, tree, base_log) -> Iterator[pa.RecordBatch]:
-    vocabulary = Vocabulary(hashes)
-    import xxhash
-
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Bundles with their words' counts and numbers: (bundle, docs, learn, sizes, places, counts, numbers)."""
     for batch in batches:
-        docs, texts = batch.column(0).to_pylist(), batch.column(1)
-        done = 0
-        for ids in _bundles(iter([batch]), 1, vocabulary):
-            flat, first, offset = _starts(ids)
-            common = flat >= 0
-            root = np.where(common, base_log[np.where(common, flat, 0)], 0.0) if len(base_log) else np.zeros(len(flat))
-            score = root.copy()  # rare words' root part is joined later
-            if tree:
-                state = np.full(len(flat), -1, np.int64)
-                for own, s in zip(states_of(flat, first, levels), tree["keep"], strict=True):
-                    if len(s):
-                        g = np.where(own >= 0, s[np.maximum(own, 0)], -1)
-                        state = np.where(g >= 0, g, state)
-                score += _tree_part(state, flat, tree)
-            base, total = np.add.reduceat(root, offset), np.add.reduceat(score, offset)
-            known = np.add.reduceat(common.astype(np.int64), offset)
-            rare, many, rid = [], [], []
-            for k, x in enumerate(ids):
-                h, m = np.unique(x[x < 0], return_counts=True)
-                rare.append(h)
-                many.append(m)
-                text = texts[done + k].as_py()
-                rid.append(xxhash.xxh3_64_intdigest(f"{docs[done + k]}\n".encode() + (b"-" if text is None else b"+" + text)) - (1 << 63))
-            n = len(ids)
-            lists = pa.array(rare, pa.list_(pa.int64())), pa.array(many, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs[done : done + n], pa.int64()), pa.array(rid, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array(known), pa.array(base), pa.array(total), *lists],
-                ["doc_id", "rid", "n_tokens", "known", "base", "tree", "rare", "many"],
-            )
-            done += n
-
-
-def _tree_part(state: np.ndarray, flat: np.ndarray, tree: dict) -> np.ndarray:
-    """log10 P(word | state) - log10 P(word | root) for every token."""
-    out, at = np.zeros(len(flat)), state.copy()
-    (open_,) = np.nonzero(state >= 0)
-    # walk from the longest state to shorter ones until an entry holds the word; the root part is added by the caller
-    while len(open_):
-        if len(tree["entries"]):
-            word = flat[open_]
-            code = np.where(word >= 0, at[open_] << np.int64(WORD_BITS) | word, -1)
-            i = np.minimum(np.searchsorted(tree["entries"], code), len(tree["entries"]) - 1)
-            hit = (tree["entries"][i] == code) & (code >= 0)
-            # an entry's value is its log share less the word's root log share
-            out[open_[hit]] += tree["gain"][i[hit]]
-            open_ = open_[~hit]
-        out[open_] += tree["backoff"][at[open_]]
-        at[open_] = tree["parent"][at[open_]]
-        open_ = open_[at[open_] >= 0]
-    return out
-
-
-def _collect(df: DataFrame, *names: str) -> list[np.ndarray]:
-    t = df.select(*names).toArrow()
-    return [t.column(n).to_numpy().astype(np.int64) for n in names]
-
-
-def build(docs: DataFrame, may_learn: Column, text: str = "text", depth: int = DEPTH) -> dict:
-    """The model: the table of all word counts, N, V, common words and the tree."""
-    rows = docs.filter(may_learn).select(F.col(text).cast("binary").alias("text"))
-    counts = rows.mapInArrow(Lean(_counted), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    counts = materialize(counts, "words")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n, v = int(total["n"]), int(total["v"])
-    h, c = _collect(counts.filter(F.col("c") >= LEAST), "h", "c")
-    if len(h) > 1 << WORD_BITS:
-        raise ValueError(f"{len(h)} words seen {LEAST} times or more; {1 << WORD_BITS} numbers are free")
-    order = np.lexsort((h, -c))
-    h, c = h[order], c[order]
-    model = {"counts": counts, "n": n, "v": v, "hashes": h, "levels": [], "tree": None}
-    model["base_log"] = np.log10((c + 0.5) / (n + 0.5 * (v + 1))) if n else np.zeros(0)
-    if not n:
-        return model
-    eligible = np.nonzero(h != word_hash(END))[0]
-    codes, context_counts = eligible, c[eligible]
-    keeps, entries, gains, backoffs, parents = [], [], [], [], []
-    suffix = np.full(len(codes), -1, np.int64)  # retained state below each context
-    state_total = 0
-    for d in range(1, depth + 1):
-        model["levels"].append({"codes": codes, "numbers": np.arange(len(codes), dtype=np.int64)})
-        if not len(codes):
-            keeps.append(np.zeros(0, np.int64))
-            break
-        found = rows.mapInArrow(Lean(_next_counts, hashes=h, levels=model["levels"], depth=d), "code long, c long")
-        found = found.groupBy("code").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST)
-        code, cs = _collect(found, "code", "c")
-        order = np.argsort(code)
-        code, cs = code[order], cs[order]
-        s, w = code >> WORD_BITS, code & ((1 << WORD_BITS) - 1)
-        share = (cs - DISCOUNT) / context_counts[s]
-        below = _log_shares(suffix[s], w, model["base_log"], entries, gains, backoffs, parents)
-        shifted = np.bincount(s, 10.0**below, len(codes))
-        kept_mass = np.bincount(s, share, len(codes))
-        raw = cs / context_counts[s]
-        divergence = np.bincount(s, raw * (np.log(raw) - below * math.log(10)), len(codes)) * context_counts
-        left, other = np.maximum(1 - kept_mass, 1e-9), np.maximum(1 - shifted, 1e-9)
-        retained = divergence >= DIVERGENCE
-        number = np.where(retained, state_total + np.cumsum(retained) - 1, -1)
-        keeps.append(number)
-        take = retained[s]
-        new_entries = number[s[take]] << WORD_BITS | w[take]
-        new_gains = np.log10(share[take]) - model["base_log"][w[take]]
-        new_backoffs = np.log10(left[retained] / other[retained])
-        new_parents = suffix[retained]
-        entries.append(new_entries)
-        gains.append(new_gains)
-        backoffs.append(new_backoffs)
-        parents.append(new_parents)
-        state_total += int(retained.sum())
-        if d == depth:
-            break
-        # longer contexts: the counted (context, word) pairs; their suffix drops the first word
-        longer = h[w] != word_hash(END)
-        codes, context_counts, ss, ww = code[longer], cs[longer], s[longer], w[longer]
-        suffix = _suffix_states(model["levels"], keeps, ss, ww, d)
-    model["tree"] = {
-        "keep": keeps,
-        "entries": np.concatenate(entries) if entries else np.zeros(0, np.int64),
-        "gain": np.concatenate(gains) if gains else np.zeros(0),
-        "backoff": np.concatenate(backoffs) if backoffs else np.zeros(0),
-        "parent": np.concatenate(parents) if parents else np.zeros(0, np.int64),
-    }
-    return model
-
-
-def _suffix_states(levels: list[dict], keeps: list[np.ndarray], s: np.ndarray, w: np.ndarray, d: int) -> np.ndarray:
-    """The longest retained state among the proper suffixes of the contexts (s of d words, then w)."""
-    words = [w]
-    at = s
-    for k in range(d - 1, 0, -1):
-        code = levels[k]["codes"][at]
-        words.insert(0, code & ((1 << WORD_BITS) - 1))
-        at = code >> WORD_BITS
-    # words now holds the last d words of each context, oldest first
-    out = np.full(len(w), -1, np.int64)
-    for size in range(1, d + 1):
-        state = _find(levels[0]["codes"], levels[0]["numbers"], words[d - size])
-        for k in range(1, size):
-            state = _find(levels[k]["codes"], levels[k]["numbers"], np.where(state >= 0, state << np.int64(WORD_BITS) | words[d - size + k], -1))
-        kept = keeps[size - 1]
-        g = np.where(state >= 0, kept[np.maximum(state, 0)], -1) if len(kept) else np.full(len(w), -1)
-        out = np.where(g >= 0, g, out)
-    return out
-
-
-def _log_shares(states: np.ndarray, words: np.ndarray, base_log: np.ndarray, entries, gains, backoffs, parents) -> np.ndarray:
-    """log10 P(word | state) in the tree as built so far; state -1 is the root."""
-    out = base_log[words].copy()
-    if entries:
-        tree = {"entries": np.concatenate(entries), "gain": np.concatenate(gains), "backoff": np.concatenate(backoffs), "parent": np.concatenate(parents)}
-        out += _tree_part(states, words, tree)
-    return out
+        for i in range(batch.num_rows):
+            col = {n: batch.column(k)[i] for k, n in enumerate(batch.schema.names)}
+            sizes, counts, numbers = (np.array(col[n].values.to_numpy(zero_copy_only=False), np.int64) for n in ("sizes", "c", "number"))
+            (at,) = _unpacked(col["data"].as_py(), int(sizes.sum()))
+            yield col["bundle"].as_py(), col["docs"].values, np.array(col["learn"].as_py(), bool), sizes, at, counts, numbers
+
+
+def _base(batches: Iterator[pa.RecordBatch], n: int, v: int) -> Iterator[pa.RecordBatch]:
+    for bundle, docs, _, sizes, at, counts, _ in _opened(batches):
+        first = np.cumsum(sizes) - sizes
+        root = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
+        base, known = np.add.reduceat(root[at], first), np.add.reduceat((counts > 0)[at].astype(np.int64), first)
+        columns = [docs, pa.array(sizes), pa.array(known), pa.array(base)]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), c) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array([bundle], pa.int64()), *lists], ["bundle", "docs", "n_tokens", "known", "base"])
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
+
+
+def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, int], depth: int, hot_only: bool) -> Iterator[pa.RecordBatch]:
+    """Blocks of positions by the task of their previous word: the three words before, the next word, its count, its text."""
+    splits = np.ones(max(hot, default=0) + 2, np.int64)
+    splits[list(hot)] = list(hot.values())
+    for bundle, _, learn, sizes, at, counts, numbers in _opened(batches):
+        word, c = numbers[at], counts[at]
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        first = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        before = [np.concatenate([np.zeros(k, np.int64), word[:-k] if k < len(word) else word[:0]])[: len(word)] * (first >= k) for k in (1, 2, 3)]
+        (some,) = np.nonzero(before[0] > 0)
+        w1, w = before[0][some], word[some]
+        s = splits[np.minimum(w1, len(splits) - 1)]
+        # a rare next word is in no entry, so its position may go to any split
+        j = (_spread(np.where(w > 0, w, some + (1 << 33))) % s.astype(np.uint64)).astype(np.int64)
+        part = np.where(s > 1, -1 - (w1 << 20 | j), (_spread(w1) % np.uint64(parts)).astype(np.int64))
+        if hot_only:
+            some, w1, w, part = (x[s > 1] for x in (some, w1, w, part))
+        order = np.lexsort((w, w1, part))
+        some, part = some[order], part[order]
+        w2 = before[1][some] if depth > 1 else np.zeros(len(some), np.int64)
+        w3 = before[2][some] * (w2 > 0) if depth > 2 else np.zeros(len(some), np.int64)
+        t = text[some]
+        columns = w1[order], w2, w3, w[order], c[some], t << 1 | learn[t]
+        cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
+        data = [_packed(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part[cuts[:-1]], pa.int64()), pa.array(np.full(len(data), bundle), pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(data, pa.binary())],
+            ["part", "bundle", "n", "data"],
+        )
 
 
-def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    run = Lean(_score, hashes=model["hashes"], levels=model["levels"], tree=model["tree"], base_log=model["base_log"])
-    rows = slim.mapInArrow(run, "doc_id long, rid long, n_tokens long, known long, base double, tree double, rare array<long>, many array<long>")
-    rows = materialize(rows, "scored")
-    n, v = model["n"], model["v"]
-    floor = -math.log10(n + 0.5 * (v + 1))
-    rare = rows.select("rid", F.explode(F.arrays_zip("rare", "many")).alias("r")).select("rid", F.col("r.rare").alias("h"), F.col("r.many").alias("m"))
-    found = rare.join(model["counts"], "h", "left")
-    c = F.coalesce("c", F.lit(0))
-    part = F.log10(c + 0.5) + F.lit(floor)
-    # rows of the same id and text share rid, so their words are counted once for each of them
-    sums = found.groupBy("rid").agg(F.sum(F.col("m") * part).alias("part"), F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("found"))
-    again = rows.groupBy("rid").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("rid").alias("twin"), "rows")
-    out = rows.drop("rare", "many").join(sums, "rid", "left").join(again, F.col("rid") == F.col("twin"), "left")
-    share = F.coalesce("rows", F.lit(1))
-    rest = F.coalesce(F.col("part") / share, F.lit(0.0))
-    if not n:
-        # no training: (0 + 0.5) / (0 + 0.5) = 1 for every token
-        rest = F.lit(0.0)
-    return out.select(
-        "doc_id",
-        "n_tokens",
-        (F.col("known") + F.coalesce(F.expr("found div coalesce(rows, 1)"), F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + rest).alias("base_score"),
-        (F.col("tree") + rest).alias("score"),
-    )
+class Branch:
+    """The contexts and entries of one task's positions, for each depth from 1 on."""
+
+    def __init__(self, columns: np.ndarray, n_train: int, depth: int):
+        w1, w2, w3, w, c, text = columns.astype(np.int64)
+        train, none = (text & 1).astype(bool), np.full(len(w), -1, np.int64)
+        self.w, self.c, self.words = w, c, (w1, w2, w3)
+        self.state, self.entry, self.example, self.count, self.seen, self.kept = [], [], [], [], [], []
+        above_state, above_seen, above_entry = np.zeros(len(w), np.int64), None, None
+        self.sums = []
+        for d in range(depth):
+            older = self.words[d]
+            ok = (older > 0) & (above_state >= 0)
+            state = none.copy()
+            _, example, state[ok] = np.unique(above_state[ok] << np.int64(32) | older[ok], return_index=True, return_inverse=True)
+            self.example.append(np.nonzero(ok)[0][example])
+            n_states = len(example)
+            with_entry = ok & (w > 0)
+            entry = none.copy()
+            _, first, entry[with_entry] = np.unique(state[with_entry] << np.int64(32) | w[with_entry], return_index=True, return_inverse=True)
+            first = np.nonzero(with_entry)[0][first]
+            count = np.bincount(state[ok & train], minlength=n_states)
+            seen = np.bincount(entry[with_entry & train], minlength=len(first))
+            kept = seen >= LEAST
+            # an entry's count below the suffix: the word's own count at the root
+            below = (c[first] if above_entry is None else above_seen[above_entry[first]]) if len(first) else np.zeros(0)
+            s = state[first][kept]
+            gain = np.bincount(s, seen[kept] * np.log(seen[kept] / below[kept]), n_states)
+            self.sums.append((count, np.bincount(s, seen[kept], n_states).astype(np.int64), np.bincount(s, minlength=n_states), gain))
+            for x, y in ((self.state, state), (self.entry, entry), (self.seen, seen), (self.kept, kept)):
+                x.append(y)
+            above_state, above_seen, above_entry = state, seen, entry
+        self.n_train = n_train
+
+    def totals(self, part: int) -> pa.Table:
+        """The sums of every context, as rows to exchange between splits."""
+        out = []
+        for d, (at, sums) in enumerate(zip(self.example, self.sums, strict=True)):
+            names = [x[at] * (k <= d) for k, x in enumerate(self.words)]
+            out.append([np.full(len(at), part), np.full(len(at), d, np.int32), *names, *sums])
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+        return pa.table(dict(zip(("part", "d", "w1", "w2", "w3", "c", "kept", "entries", "gain"), columns, strict=True)))
+
+    def use(self, totals: pa.Table) -> None:
+        """Put the exchanged sums in place of this split's own."""
+        t = {n: totals.column(n).to_numpy() for n in totals.column_names}
+        for d, at in enumerate(self.example):
+            mine = np.stack([x[at] for x in self.words[: d + 1]])
+            rows = np.nonzero(t["d"] == d)[0]
+            theirs = np.stack([t[f"w{k + 1}"][rows] for k in range(d + 1)])
+            rows = rows[np.lexsort(theirs[::-1])]
+            own = np.empty(len(at), np.int64)
+            own[np.lexsort(mine[::-1])] = rows  # every context of a split was sent out, so both sides hold the same ones
+            self.sums[d] = tuple(t[n][own] for n in ("c", "kept", "entries", "gain"))
+
+    def gains(self, n: int, v: int) -> np.ndarray:
+        """log10 P(word | longest state) - log10 P(word | root) of each position."""
+        root = (self.c + 0.5) / (n + 0.5 * (v + 1))
+        p = root.copy()
+        above = None
+        for state, entry, seen, kept, (count, kept_sum, entries, gain) in zip(self.state, self.entry, self.seen, self.kept, self.sums, strict=True):
+            if not len(count):
+                break
+            below = np.full(len(count), self.n_train) if above is None else above[0][above[1]]
+            ratio = np.maximum(count, 1) / np.maximum(below, 1)
+            retained = (count >= LEAST) & (gain - kept_sum * np.log(ratio) >= DIVERGENCE)
+            rest = (count - kept_sum + DISCOUNT * entries) / np.maximum(count, 1)
+            share = np.zeros(len(p))
+            (have,) = np.nonzero(entry >= 0)
+            e = entry[have]
+            share[have] = np.where(kept[e], seen[e] - DISCOUNT, 0.0) / np.maximum(count[state[have]], 1)
+            (on,) = np.nonzero(state >= 0)
+            on = on[retained[state[on]]]
+            p[on] = share[on] + rest[state[on]] * p[on]
+            above = self._above(count, len(above[2]) if above else 0, state)
+        return np.log10(p) - np.log10(root)
+
+    def _above(self, count: np.ndarray, d: int, state: np.ndarray) -> tuple:
+        """For the next depth: counts here, and where each longer context's suffix is among them."""
+        at = self.example[d + 1] if d + 1 < len(self.example) else np.zeros(0, np.int64)
+        return count, state[at], range(d + 1)
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The positions of all blocks of a task, and the bundle of each."""
+    sizes = table.column("n").to_numpy()
+    blocks = [_unpacked(x.as_py(), int(k)) for x, k in zip(table.column("data"), sizes, strict=True)]
+    return np.concatenate(blocks, axis=1), np.repeat(table.column("bundle").to_numpy(), sizes)
+
+
+def _split_sums(key, table, n, depth):
+    columns, _ = _columns(table)
+    return Branch(columns, n, depth).totals(key[0].as_py())
+
+
+def _branch_scores(key, table: pa.Table, totals: pa.Table, n: int, v: int, depth: int) -> pa.Table:
+    """Per bundle, the sums of gains of its texts over this task's positions."""
+    bundles, docs, gains = [], [], []
+    if table.num_rows:
+        columns, bundle = _columns(table)
+        branch = Branch(columns, n, depth)
+        if totals.num_rows:
+            branch.use(totals)
+        order = np.lexsort((columns[5], bundle))
+        name = np.stack([bundle[order], columns[5][order].astype(np.int64) >> 1])
+        cuts = np.concatenate([[0], np.nonzero(np.any(name[:, 1:] != name[:, :-1], axis=0))[0] + 1])
+        sums, name = np.add.reduceat(branch.gains(n, v)[order], cuts), name[:, cuts]
+        edges = np.concatenate([[0], np.nonzero(np.diff(name[0]))[0] + 1, [name.shape[1]]])
+        for a, b in zip(edges, edges[1:], strict=False):
+            bundles.append(int(name[0, a]))
+            docs.append(_packed(name[1, a:b]))
+            gains.append(sums[a:b].tobytes())
+    del table
+    release()
+    return pa.table({"bundle": pa.array(bundles, pa.int64()), "texts": pa.array(docs, pa.binary()), "gains": pa.array(gains, pa.binary())})
+
+
+def _joined(key, base: pa.Table, gains: pa.Table) -> pa.Table:
+    """A row for each text of a bundle, with the gains of all branches added to its base score."""
+    row = {n: base.column(n).combine_chunks()[0] for n in base.column_names}
+    start = np.array(row["base"].values.to_numpy(zero_copy_only=False), np.float64)
+    score = start.copy()
+    for texts, values in zip(gains.column("texts"), gains.column("gains"), strict=True):
+        g = np.frombuffer(values.as_py(), np.float64)
+        score[_unpacked(texts.as_py(), len(g))[0]] += g
+    return pa.table({"doc_id": row["docs"].values, "n_tokens": row["n_tokens"].values, "n_known": row["known"].values, "base_score": pa.array(start), "score": pa.array(score)})
+
+
+def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, part_windows: int = PART_WINDOWS) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row, learning from those that ``may_learn`` lets through."""
+    spark = docs.sparkSession
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(may_learn, F.lit(False)).alias("learn"), F.col(text).cast("binary").alias("text"))
+    schema = "bundle long, docs array<long>, learn array<boolean>, sizes array<int>, words array<long>, counts array<long>, data binary"
+    bundles = materialize(slim.mapInArrow(Lean(_bundles), schema), "bundles")
+    counts = bundles.select(F.inline(F.arrays_zip(F.col("words").alias("h"), F.col("counts").alias("c")))).groupBy("h").agg(F.sum("c").alias("c"))
+    total = materialize(counts, "words")
+    n, v = (int(x or 0) for x in total.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first())
+    # numbers from 1 on for words seen often enough, the frequent ones first; 0 for the rest
+    numbered = ranked(total, [-F.col("c"), F.col("h")], "rank", "all", "numbers").select("h", "c", F.when(F.col("c") >= LEAST, F.col("rank") + 1).otherwise(0).alias("number"))
+    # as many words as positions over what a task should hold, at most
+    hot = {r["number"]: math.ceil(r["c"] / part_windows) + 1 for r in numbered.filter((F.col("c") > part_windows) & (F.col("number") > 0) & (F.col("h") != word_hash(END))).collect()}
+    lists = bundles.select("bundle", F.explode("words").alias("h")).join(numbered, "h").groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("h", "c", "number"))).alias("w"))
+    lists = lists.select("bundle", F.col("w.c").alias("c"), F.col("w.number").alias("number"))
+    known = materialize(bundles.drop("words", "counts").join(lists, "bundle"), "numbered")
+    discard(bundles, total)
+    positions = known.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    parts = max(1, math.ceil(positions / part_windows))
+    columns = known.select("bundle", "docs", "learn", "sizes", "data", "c", "number")
+    base = columns.mapInArrow(Lean(_base, n=n, v=v), "bundle long, docs array<long>, n_tokens array<long>, known array<long>, base array<double>")
+    cut = partial(Lean, _windows, parts=parts, hot=hot, depth=depth)
+    block = "part long, bundle long, n long, data binary"
+    totals = spark.createDataFrame([], _TOTALS)
+    if hot:
+        names = ["d", "w1", "w2", "w3"]
+        sent = columns.mapInArrow(cut(hot_only=True), block).groupBy("part").applyInArrow(partial(_split_sums, n=n, depth=depth), _TOTALS)
+        sent = materialize(sent, "split-sums")
+        summed = sent.groupBy(*names).agg(*[F.sum(c).alias(c) for c in ("c", "kept", "entries", "gain")])
+        totals = sent.select("part", *names).join(summed, names).select("part", *names, "c", "kept", "entries", "gain")
+    totals = totals.withColumnRenamed("part", "t_part")
+    windows = columns.mapInArrow(cut(hot_only=False), block) if n else spark.createDataFrame([], block)
+    found = windows.groupBy("part").cogroup(totals.groupBy("t_part")).applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth), "bundle long, texts binary, gains binary")
+    found = found.withColumnRenamed("bundle", "g_bundle")
+    rows = base.groupBy("bundle").cogroup(found.groupBy("g_bundle")).applyInArrow(_joined, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return rows.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
