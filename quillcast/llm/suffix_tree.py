@@ -9,7 +9,8 @@ A state's distribution: each kept entry has its discounted share, and what is le
 longest retained suffix, down to the root's additive smoothing over all words; so every distribution sums to one. A text's score is the sum
 over its symbols from the longest suffix state of its history.
 
-No task and no driver holds the tree. Texts become bundles of numbered words, written once. Each position sends its last four words to the task of
+No task and no driver holds the tree or the words. Texts become bundles of word places, written once. Slices of the bundles' words, cut by
+hash, are counted and numbered each in one task, and the bundles get their words' counts and numbers back. Each position sends its last four words to the task of
 its previous word, in packed blocks; all contexts that end in this word, the branch of the tree, live there, are counted, tested and used there,
 and only the texts' sums leave. Words more frequent than a task should hold are split by the next word; as all
 statistics of a state are sums over next words, the splits exchange them first.
@@ -29,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import Lean, discard, materialize, ranked, release
+from quillcast.llm.common import Lean, discard, materialize, release
 
 DEPTH = 3
 LEAST = 2
 DISCOUNT, DIVERGENCE = 0.75, 4.0
 END = b"\n"  # no word holds a line break
 #: Tokens of a bundle of texts, and positions that one task holds of a branch.
-BUNDLE_TOKENS, PART_WINDOWS = 400_000, 750_000
+BUNDLE_TOKENS, PART_WINDOWS = 800_000, 750_000
+#: Words of bundles that one task counts and numbers.
+SLICE_WORDS = 1_000_000
 _TOTALS = "part long, d int, w1 long, w2 long, w3 long, c long, kept long, entries long, gain double"
 
 
@@ -106,13 +109,58 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _slices(batches: Iterator[pa.RecordBatch], slices: int) -> Iterator[pa.RecordBatch]:
+    """The words of bundles cut into runs of equal ranges of their (sorted) hashes."""
+    edges = np.array([-(1 << 63) + (i << 64) // slices for i in range(1, slices)], np.int64)
+    for batch in batches:
+        for bundle, words, counts in zip(*(batch.column(k) for k in range(3)), strict=True):
+            h, c = words.values.to_numpy(zero_copy_only=False), counts.values.to_numpy(zero_copy_only=False)
+            cuts = [0, *np.searchsorted(h, edges).tolist(), len(h)]
+            rows = [(i, x, y) for i, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x]
+            columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([bundle.as_py()] * len(rows), pa.int64()), pa.array([r[2] - r[1] for r in rows], pa.int64())]
+            data = pa.array([h[x:y].tobytes() for _, x, y in rows], pa.binary()), pa.array([_packed(c[x:y]) for _, x, y in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, *data], ["slice", "bundle", "size", "words", "counts"])
+
+
+def _number(key, table, slices, limit):
+    """Counts and numbers of a slice's words, for each bundle; and a row of sums (bundle -1) with the words over ``limit``."""
+    at, sizes, names = key[0].as_py(), table.column("size").to_numpy(), table.column("bundle").to_numpy()
+    h = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("words")])
+    c = np.concatenate([_unpacked(x.as_py(), int(k))[0] for x, k in zip(table.column("counts"), sizes, strict=True)])
+    words, place = np.unique(h, return_inverse=True)
+    total = np.bincount(place, c, len(words)).astype(np.int64)
+    # numbers from 1 on for words seen often enough, the frequent ones of every slice first; 0 for the rest
+    order = np.lexsort((words, -total))
+    number = np.empty(len(words), np.int64)
+    number[order] = np.arange(len(words)) * slices + at + 1
+    number[total < LEAST] = 0
+    ends = np.cumsum(sizes)
+    data = [_packed(total[place[e - k : e]], number[place[e - k : e]]) for e, k in zip(ends, sizes, strict=True)]
+    hot = (total > limit) & (words != word_hash(END)) & (number > 0)
+    n, lists = len(data), pa.list_(pa.int64())
+    return pa.table({
+        "slice": pa.array([at] * (n + 1), pa.int64()), "bundle": pa.array([*names, -1], pa.int64()), "size": pa.array([*sizes, 0], pa.int64()), "data": pa.array([*data, None], pa.binary()),
+        "n": pa.array([0] * n + [int(total.sum())], pa.int64()), "v": pa.array([0] * n + [int((total > 0).sum())], pa.int64()),
+        "hot": pa.array([[]] * n + [number[hot]], lists), "times": pa.array([[]] * n + [total[hot]], lists),
+    })
+
+
+def _with_numbers(key, bundle, numbers):
+    """A bundle with the counts and numbers of its words in one block."""
+    order = np.argsort(numbers.column("slice").to_numpy())
+    sizes, data = numbers.column("size").to_numpy(), numbers.column("data")
+    both = np.concatenate([_unpacked(data[int(i)].as_py(), int(sizes[i])) for i in order], axis=1)
+    return bundle.append_column("known", pa.array([_packed(*both)], pa.binary())).append_column("n_known", pa.array([both.shape[1]], pa.int64()))
+
+
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Bundles with their words' counts and numbers: (bundle, docs, learn, sizes, places, counts, numbers)."""
     for batch in batches:
         for i in range(batch.num_rows):
             col = {n: batch.column(k)[i] for k, n in enumerate(batch.schema.names)}
-            sizes, counts, numbers = (np.array(col[n].values.to_numpy(zero_copy_only=False), np.int64) for n in ("sizes", "c", "number"))
+            sizes = np.array(col["sizes"].values.to_numpy(zero_copy_only=False), np.int64)
             (at,) = _unpacked(col["data"].as_py(), int(sizes.sum()))
+            counts, numbers = _unpacked(col["known"].as_py(), col["n_known"].as_py()).astype(np.int64)
             yield col["bundle"].as_py(), col["docs"].values, np.array(col["learn"].as_py(), bool), sizes, at, counts, numbers
 
 
@@ -296,32 +344,33 @@ def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(may_learn, F.lit(False)).alias("learn"), F.col(text).cast("binary").alias("text"))
     schema = "bundle long, docs array<long>, learn array<boolean>, sizes array<int>, words array<long>, counts array<long>, data binary"
     bundles = materialize(slim.mapInArrow(Lean(_bundles), schema), "bundles")
-    counts = bundles.select(F.inline(F.arrays_zip(F.col("words").alias("h"), F.col("counts").alias("c")))).groupBy("h").agg(F.sum("c").alias("c"))
-    total = materialize(counts, "words")
-    n, v = (int(x or 0) for x in total.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first())
-    # numbers from 1 on for words seen often enough, the frequent ones first; 0 for the rest
-    numbered = ranked(total, [-F.col("c"), F.col("h")], "rank", "all", "numbers").select("h", "c", F.when(F.col("c") >= LEAST, F.col("rank") + 1).otherwise(0).alias("number"))
-    # as many words as positions over what a task should hold, at most
-    hot = {r["number"]: math.ceil(r["c"] / part_windows) + 1 for r in numbered.filter((F.col("c") > part_windows) & (F.col("number") > 0) & (F.col("h") != word_hash(END))).collect()}
-    lists = bundles.select("bundle", F.explode("words").alias("h")).join(numbered, "h").groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("h", "c", "number"))).alias("w"))
-    lists = lists.select("bundle", F.col("w.c").alias("c"), F.col("w.number").alias("number"))
-    known = materialize(bundles.drop("words", "counts").join(lists, "bundle"), "numbered")
-    discard(bundles, total)
+    total = bundles.agg(F.sum(F.size("words"))).first()[0] or 0
+    slices = max(1, math.ceil(total / SLICE_WORDS))
+    cut_words = bundles.select("bundle", "words", "counts").mapInArrow(Lean(_slices, slices=slices), "slice long, bundle long, size long, words binary, counts binary")
+    numbered = cut_words.groupBy("slice").applyInArrow(partial(_number, slices=slices, limit=part_windows), "slice long, bundle long, size long, data binary, n long, v long, hot array<long>, times array<long>")
+    numbered = materialize(numbered, "numbers")
+    n, v = (int(x or 0) for x in numbered.filter("bundle = -1").agg(F.sum("n"), F.sum("v")).first())
+    # at most as many words as there are positions over what a task should hold
+    hot = {r["w"]: math.ceil(r["c"] / part_windows) + 1 for r in numbered.select(F.inline(F.arrays_zip(F.col("hot").alias("w"), F.col("times").alias("c")))).collect()}
+    schema = "bundle long, docs array<long>, learn array<boolean>, sizes array<int>, data binary"
+    texts = bundles.select("bundle", "docs", "learn", "sizes", "data").groupBy("bundle")
+    back = numbered.filter("bundle >= 0").select(F.col("bundle").alias("n_bundle"), "slice", "size", "data").groupBy("n_bundle")
+    known = materialize(texts.cogroup(back).applyInArrow(_with_numbers, f"{schema}, known binary, n_known long"), "numbered")
+    discard(bundles, numbered)
     positions = known.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     parts = max(1, math.ceil(positions / part_windows))
-    columns = known.select("bundle", "docs", "learn", "sizes", "data", "c", "number")
-    base = columns.mapInArrow(Lean(_base, n=n, v=v), "bundle long, docs array<long>, n_tokens array<long>, known array<long>, base array<double>")
+    base = known.mapInArrow(Lean(_base, n=n, v=v), "bundle long, docs array<long>, n_tokens array<long>, known array<long>, base array<double>")
     cut = partial(Lean, _windows, parts=parts, hot=hot, depth=depth)
     block = "part long, bundle long, n long, data binary"
     totals = spark.createDataFrame([], _TOTALS)
     if hot:
         names = ["d", "w1", "w2", "w3"]
-        sent = columns.mapInArrow(cut(hot_only=True), block).groupBy("part").applyInArrow(partial(_split_sums, n=n, depth=depth), _TOTALS)
+        sent = known.mapInArrow(cut(hot_only=True), block).groupBy("part").applyInArrow(partial(_split_sums, n=n, depth=depth), _TOTALS)
         sent = materialize(sent, "split-sums")
         summed = sent.groupBy(*names).agg(*[F.sum(c).alias(c) for c in ("c", "kept", "entries", "gain")])
         totals = sent.select("part", *names).join(summed, names).select("part", *names, "c", "kept", "entries", "gain")
     totals = totals.withColumnRenamed("part", "t_part")
-    windows = columns.mapInArrow(cut(hot_only=False), block) if n else spark.createDataFrame([], block)
+    windows = known.mapInArrow(cut(hot_only=False), block) if n else spark.createDataFrame([], block)
     found = windows.groupBy("part").cogroup(totals.groupBy("t_part")).applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth), "bundle long, texts binary, gains binary")
     found = found.withColumnRenamed("bundle", "g_bundle")
     rows = base.groupBy("bundle").cogroup(found.groupBy("g_bundle")).applyInArrow(_joined, "doc_id long, n_tokens long, n_known long, base_score double, score double")
