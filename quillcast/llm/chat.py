@@ -3,25 +3,25 @@
 An event is a row (conv_id, seq, msg, op, role, text). ``op`` is one of
 ``message`` (a whole text), ``delta`` (append to the message), ``edit`` (replace what was there) and
 ``regenerate`` (drop what was there; later deltas fill the message anew). ``msg`` numbers the message in its
-conversation. Reconstruction partitions by (conv_id, msg), sorts by seq and folds, then orders the
-messages, renders each by the template and joins a conversation's segments.
+conversation. Reconstruction partitions the log by conversation, once; inside a partition the events of each message
+are sorted by seq and folded, the messages ordered, each rendered by the template and a conversation's segments joined.
 
 The template: ``<|turn|>role<|say|>text<|end|>`` for each turn. In roles and texts a backslash is doubled, and one is
 put after the first character of every control string (``<|``, ``<s>``, ``</s>``, ``[INST]``, ``[/INST]``), so that no control string is
 left and ``unescape`` gives back the text exactly. The output is a list of segments with a loss flag; their
 texts joined are the formatted string, and the flagged ones (assistant texts) are the loss mask.
 
-Messages are folded in parallel even inside one huge conversation; only the rendered segments of a
-conversation meet in one row, as the formatted string itself must.
+Folding holds one message's events at a time; only the rendered segments of a conversation meet in one row, as the formatted string
+itself must, so a conversation's formatted text (below 2 GB) bounds what one task holds.
 
 Defined results: null text is empty, null role is empty, a null conv_id is a conversation of its own; ties in
-seq are ordered by op, role and text; repeated rows count as further turns; empty input gives no rows; other columns
-are ignored.
+seq are ordered by op, role and text; rows of one turn are ordered by role and text; repeated rows count as further turns; very long texts are
+kept whole; empty input gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillcast.llm.common import let
@@ -43,22 +43,23 @@ def unescape(text: Column) -> Column:
 
 
 def from_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Plain tables of turns as event logs: each row is a whole message of its own.
+    """A plain table of turns as the log a chat service would have streamed, dealt by conversation.
 
-    Rows that share a turn number stay apart: the message key holds a hash of the text, and repeats are counted.
+    Every turn gives five events: its second half as a delta, a regenerate that drops it, the second half again, an edit that
+    puts the first half in its place, and the second half as a delta. Folding any of them wrongly changes the text.
     """
-    said = F.col(text)
-    rows = conversations.groupBy(
-        F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.xxhash64(said, F.length(said)).alias("hash")
-    ).agg(F.any_value(said).alias("text"), F.count(F.lit(1)).alias("n"))
-    return rows.select(
-        "conv_id",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("seq"),
-        "turn",
-        "hash",
-        "role",
-        "text",
-    ).select("conv_id", "seq", F.struct("turn", "role", "hash", "seq").alias("msg"), F.lit("message").alias("op"), "role", "text")
+    t = F.coalesce("text", F.lit(""))
+    cut = F.floor(F.length(t) / 2).cast("int")
+    head, tail = F.substring(t, F.lit(1), cut), F.substring(t, cut + 1, F.length(t))
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = conversations.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
+    numbered = rows.withColumn("msg", F.row_number().over(w).cast("long"))
+    ops = [("delta", "role", tail), ("regenerate", None, None), ("delta", None, tail), ("edit", None, head), ("delta", None, tail)]
+    events = [
+        F.struct((F.col("msg") * len(ops) + i).alias("seq"), F.lit(op).alias("op"), (F.col(r) if r else F.lit(None).cast("string")).alias("role"), (F.lit(None).cast("string") if x is None else x).alias("text"))
+        for i, (op, r, x) in enumerate(ops)
+    ]
+    return numbered.select("conv_id", "msg", F.inline(F.array(*events))).select("conv_id", "seq", "msg", "op", "role", "text")
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
@@ -111,9 +112,9 @@ def render(messages: DataFrame) -> DataFrame:
     )
 
 
-def format_events(events: DataFrame) -> DataFrame:
-    """(conv_id, formatted, segments) for every conversation of an event log."""
-    return render(reconstruct(events))
+def format_events(events: DataFrame, dealt: bool = False) -> DataFrame:
+    """(conv_id, formatted, segments) for every conversation of an event log (``dealt``: already partitioned by conv_id)."""
+    return render(reconstruct(events if dealt else events.repartition("conv_id")))
 
 
 def digest(formatted: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(said).alias("text")) for i, r in enumerate(("user", "assistant"))])).alias("x")).select("x.*")
-    return chat.digest(chat.format_events(chat.from_turns(turns.unionByName(extra))))
+    return chat.digest(chat.format_events(chat.from_turns(turns.unionByName(extra)), dealt=True))
 
 
 def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
