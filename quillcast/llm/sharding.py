@@ -2,13 +2,15 @@
 
 Several metadata columns are quantised to ``BITS`` bits each, a Hilbert index joins them, rows are sorted
 by it and cut into equal runs. Rows near each other in all dimensions share a shard, so a reader can skip
-files by the minima and maxima of any of the dimensions.
+files by the minima and maxima of any of the dimensions: ``statistics`` has them by shard, ``touched`` names the shards that a range may be in.
 
-The law is ``rows``: counts differ by one at most. Order: curve index, then hash of the text, then doc_id, so
-equal texts with equal metadata lie side by side; a group is cut only where a shard ends inside it, because
-equal counts leave no other way when one group holds a third of all rows.
+The law is ``rows``: counts differ by one at most. Equal texts take the curve index of the one with the smallest doc_id, and the order is curve
+index, hash of the text, doc_id; so a group of equal texts lies side by side whatever its rows' metadata, and is cut only where a shard ends inside it,
+because equal counts leave no other way when one group holds a third of all rows.
 
-Defined results: null metadata takes the lowest cell; null text has size 1 and the crc of the empty string;
+Dimensions are cut where the cells hold equally many rows, numbers by quantile sketches, strings by the order of whole values.
+
+Defined results: null metadata takes the lowest cell; null text has size 1 and the crc of the empty string; very long texts are read whole;
 ties and repeated rows get slots of their own; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -17,10 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import cell_of, let, ranked
+from quillcast.llm.common import cell_of, let, materialize, ranked
 
 BITS = 5
 SHARDS = 16
+#: Runs of distinct strings that are counted for the cells' bounds.
+FINE = 4096
+#: So many groups of equal texts with unequal metadata are broadcast (16 bytes each); more are joined by shuffle.
+MAX_BROADCAST_GROUPS = 1_000_000
 
 
 def hilbert_index(coords: list[Column], bits: int = BITS) -> Column:
@@ -76,32 +82,64 @@ def hilbert_index(coords: list[Column], bits: int = BITS) -> Column:
     return let(gray, finish)
 
 
-def shard(docs: DataFrame, dims: list[str], shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard and the curve index for every row.
+def string_bounds(docs: DataFrame, column: str, cells: int = 1 << BITS) -> list[str]:
+    """At most ``cells`` - 1 values that cut the ordered strings into runs of about equally many rows.
 
-    Numbers are quantised by quantile sketches (equal depth), strings by sketches over a key of their
-    leading bytes, so no dictionary of values is ever collected: what reaches the driver is
-    2**BITS - 1 quantiles a dimension.
+    The distinct values are range-sorted and gathered into at most ``FINE`` runs, whose first values and row counts come to the driver.
     """
+    values = docs.groupBy(F.col(column).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n")).filter("v is not null")
+    runs = ranked(values, [F.col("v")], "rank", "total", "values").groupBy(F.expr(f"(rank * {FINE}) div total")).agg(F.min("v").alias("v"), F.sum("n").alias("n"))
+    found = sorted(runs.select("v", "n").collect(), key=lambda r: r["v"].encode("utf-8", "surrogatepass"))
+    total, before, bounds = sum(r["n"] for r in found), 0, []
+    for r in found:
+        # as many bounds as cells that the rows before the run fill; a frequent value has several
+        bounds += [r["v"]] * (before * cells // total - len(bounds))
+        before += r["n"]
+    return bounds
+
+
+def cells_of(docs: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
+    """Each dimension's cell (0 to 2**bits - 1) as a column over ``docs``."""
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    kinds, cuts = dict(docs.dtypes), (1 << bits) - 1
+    numbers = [d for d in dims if kinds[d] in numeric or kinds[d].startswith("decimal")]
+    value = {d: F.nanvl(F.col(d).cast("double"), F.lit(None).cast("double")) for d in numbers}
+    at = F.array(*[F.lit((i + 1) / (cuts + 1)) for i in range(cuts)])
+    row = docs.agg(*[F.percentile_approx(value[d], at, 2000).alias(f"q{i}") for i, d in enumerate(numbers)]).first() if numbers else []
+    bounds = {d: sorted(q or []) for d, q in zip(numbers, row, strict=True)}
+    out = []
+    for d in dims:
+        if d in bounds:
+            out.append(cell_of(value[d], bounds[d]))
+        else:
+            edges = string_bounds(docs, d, 1 << bits)
+            out.append(_runs_before(F.col(d).cast("string"), edges) if edges else F.lit(0))
+    return out
+
+
+def _runs_before(text: Column, edges: list[str]) -> Column:
+    return F.coalesce(F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= text)), F.lit(0))
+
+
+def shard(docs: DataFrame, dims: list[str], shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard and the curve index for every row."""
     t = F.coalesce(F.col(text), F.lit(""))
-    keyed = [_order_key(docs, d).alias(f"k{i}") for i, d in enumerate(dims)]
     slim = docs.select(
         F.col(doc_id).alias("doc_id"),
         (F.octet_length(t) + 1).cast("long").alias("size"),
         F.crc32(t).alias("text_crc32"),
         F.xxhash64(t).alias("text_hash"),
-        *keyed,
+        hilbert_index(cells_of(docs, dims)).alias("own"),
     )
-    cuts = (1 << BITS) - 1
-    at = F.array(*[F.lit((i + 1) / (cuts + 1)) for i in range(cuts)])
-    quantiles = slim.agg(*[F.percentile_approx(f"k{i}", at, 2000).alias(f"q{i}") for i in range(len(dims))])
-    row = quantiles.first()
-    cells = []
-    for i in range(len(dims)):
-        bounds = sorted(set(row[f"q{i}"] or []))
-        cells.append(cell_of(F.col(f"k{i}"), [int(b) for b in bounds]))
+    slim = materialize(slim, "keys")
+    # only texts whose rows differ in metadata need another key than their own
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("own").alias("own")))
+    moved = slim.groupBy("text_hash").agg(first.alias("m"), F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high")
+    moved = materialize(moved.select(F.col("text_hash").alias("g_hash"), F.col("m.own").alias("common")), "groups")
+    few = moved.count() <= MAX_BROADCAST_GROUPS
+    keyed = slim.join(F.broadcast(moved) if few else moved, F.col("text_hash") == F.col("g_hash"), "left")
     placed = ranked(
-        slim.select("doc_id", "size", "text_crc32", "text_hash", hilbert_index(cells).alias("curve")),
+        keyed.select("doc_id", "size", "text_crc32", "text_hash", F.coalesce("common", "own").alias("curve")),
         [F.col("curve"), F.col("text_hash"), F.col("doc_id")],
         "rank",
         "total",
@@ -126,13 +164,13 @@ def shard(docs: DataFrame, dims: list[str], shards: int = SHARDS, doc_id: str =
     )
 
 
-def _order_key(docs: DataFrame, column: str) -> Column:
-    """A long that sorts as the column does: numbers as they are, strings by their first seven bytes."""
-    kind = dict(docs.dtypes)[column]
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.coalesce(F.col(column).cast("long"), F.lit(-(1 << 62)))
-    if kind in ("float", "double") or kind.startswith("decimal"):
-        milli = F.round(F.col(column).cast("double") * 1000)
-        return F.coalesce(F.when(F.isnan(milli), None).otherwise(F.greatest(F.least(milli, F.lit(4e18)), F.lit(-4e18)).cast("long")), F.lit(-(1 << 62)))
-    first = F.hex(F.encode(F.coalesce(F.substring(F.col(column).cast("string"), 1, 7), F.lit("")), "UTF-8"))
-    return F.conv(F.substring(F.rpad(first, 14, "0"), 1, 14), 16, 10).cast("long")
+def statistics(sharded: DataFrame, dims: list[str]) -> DataFrame:
+    """(shard, n, and min_ and max_ of each dimension): what a reader needs to skip shards. Nulls are outside every range."""
+    return sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), *[f(d).alias(f"{n}_{d}") for d in dims for f, n in ((F.min, "min"), (F.max, "max"))])
+
+
+def touched(stats: DataFrame, ranges: dict[str, tuple]) -> DataFrame:
+    """The shards that may hold rows with every dimension inside its (low, high) range, ends included."""
+    for d, (low, high) in ranges.items():
+        stats = stats.filter((F.col(f"max_{d}") >= F.lit(low)) & (F.col(f"min_{d}") <= F.lit(high)))
+    return stats.select("shard")
