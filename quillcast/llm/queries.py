@@ -30,7 +30,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.assign(table(spark, sf_dir, "documents"))
+    return mixing.assign(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
