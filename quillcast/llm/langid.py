@@ -5,13 +5,13 @@ the word between boundary marks) and, for words that training saw often enough,
 transitions join neighbouring words, and forward-backward gives each word's distribution over languages. A document's
 distribution is the mean over its words.
 
-Training fits a bounded sample (``SAMPLE_DOCS`` documents a language, ``CHUNKS`` word runs of each) of labelled documents. Runs of
+Training learns every language that a label names, from a bounded sample (about ``SAMPLE_DOCS`` documents a language, ``CHUNKS`` word runs of each). Runs of
 different languages are strung together, so that switches occur and transitions are learned, not set.
 
 Forward-backward runs over windows of ``CORE`` words with ``EDGE`` words of context on both sides, all windows of many
-documents at once; every word of a text is labelled.
+documents at once; every word of a text is labelled. Only a text's first window begins with the learned start; the others begin evenly, in their context.
 
-Defined results: null texts and texts without letters are ``und`` with score 0; without labelled rows everything is ``und``; ties go to
+Defined results: null texts and texts without letters are ``und`` with score 0; without labelled rows everything is ``und``; very long texts are labelled whole; ties go to
 the language that sorts first; repeated rows are labelled alike; empty tables give empty results; ``filter_documents`` keeps all columns.
 """
 
@@ -29,7 +29,7 @@ from quillcast.llm.common import Lean, release
 
 CORE, EDGE = 96, 16
 DIMS = 1 << 16
-SAMPLE_DOCS, CHUNKS, CHUNK_WORDS, MAX_LANGUAGES = 300, 8, 40, 32
+SAMPLE_DOCS, CHUNKS, CHUNK_WORDS = 300, 8, 40
 LEXICON_COUNT = 3
 EPOCHS = 40
 CACHE_WORDS = 200_000
@@ -84,7 +84,7 @@ def forward_backward(e: np.ndarray, mask: np.ndarray, transitions: np.ndarray, s
     p = np.exp(e - top)
     a = np.exp(transitions)
     alpha, scale = np.empty_like(p), np.ones((n, steps))
-    now = np.exp(start)[None, :] * p[:, 0]
+    now = np.exp(start) * p[:, 0]  # one start for all, or one a window
     for t in range(steps):
         if t:
             now = np.where(mask[:, t, None], (alpha[:, t - 1] @ a) * p[:, t], alpha[:, t - 1])
@@ -208,7 +208,9 @@ class Labeller:
             for j, (d, s) in enumerate(part):
                 run = docs[d][max(0, s - EDGE) : s + CORE + EDGE]
                 ids[j, : len(run)], mask[j, : len(run)] = run, True
-            post = forward_backward(self.table[ids], mask, self.model["transitions"].astype(np.float32), self.model["start"].astype(np.float32))
+            begins = np.array([s == 0 for _, s in part])[:, None]
+            start = np.where(begins, self.model["start"].astype(np.float32), np.float32(0))
+            post = forward_backward(self.table[ids], mask, self.model["transitions"].astype(np.float32), start)
             for j, (d, s) in enumerate(part):
                 skip = s - max(0, s - EDGE)
                 n = min(CORE, len(docs[d]) - s)
@@ -255,17 +257,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict | None:
     """Train on a bounded sample of the labelled rows that ``may_learn`` lets through."""
     rows = docs.filter(may_learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = rows.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy(F.col(lang).alias("lang")).count().collect()  # a row for each language to be learned
     if not counts:
         return None
-    share = F.lit(None).cast("double")
-    for r in counts:
-        share = F.when(F.col(lang) == r["lang"], F.lit(min(1.0, sample_docs / r["count"]))).otherwise(share)
-    hit = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
+    hit = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("sample")), F.lit(1_000_000)) < F.element_at(shares, F.col(lang)) * 1_000_000
     some = rows.filter(hit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     # a run that copies repeat counts once, and one that stands under several languages tells nothing
     runs = some.mapInArrow(Lean(_chunks), "lang string, text string").groupBy("text").agg(F.min("lang").alias("lang"), F.max("lang").alias("other"))
-    chunks = runs.filter("lang = other").limit(3 * sample_docs * CHUNKS * len(counts)).collect()
+    chunks = runs.filter("lang = other").collect()
     model = train([(r["lang"], r["text"]) for r in chunks])
     release()
     return model
