@@ -15,8 +15,9 @@ count of leading zeros (6 bits) and ``MANTISSA`` further bits. Bands of ``ROWS``
 At J = 0.8 a pair shares no band with probability (1 - 0.8**8)**48 = 1.4e-4; above, less.
 
 Defined results: null or blank texts are empty, linked with nothing and keep their place; ties and repeated rows belong to
-one class; rows of equal doc_id keep their own texts, and component_id is the smallest id of the component; a null doc_id counts as no id; empty
-tables give empty results; other columns are ignored by ``near_duplicates`` and kept by ``keep_one``.
+one class; very long texts are compared whole; rows of equal doc_id keep their own texts, and component_id is the smallest id of the component. Rows of null doc_id are linked
+as others are, but null is never the smallest id unless no row of the component has one. Empty tables give empty results; other columns, whatever their names,
+are ignored by ``near_duplicates`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import Lean, fresh, materialize, release
+from quillcast.llm.common import Lean, discard, fresh, materialize, release
 from quillcast.llm.graph import components
 
 REGISTERS, ROWS, MANTISSA = 384, 8, 10
@@ -119,10 +120,9 @@ def _class_id(s: np.ndarray) -> int:
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        ids, n, cid, regs, keys = [], [], [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        n, cid, regs, keys = [], [], [], []
+        for text in batch.column(3):
             s = shingle_set(text.as_py(), width, hashes)
-            ids.append(doc)
             n.append(len(s))
             if len(s):
                 r = registers(s)
@@ -134,15 +134,20 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
                 regs.append(None)
                 keys.append(None)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "n", "cid", "regs", "keys"],
+            [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+            ["doc_id", "t1", "t2", "n", "cid", "regs", "keys"],
         )
 
 
-def sketch(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, cid, regs, keys) of every row: set size, class, registers and band keys."""
+def _named_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, t1, t2, text): two hashes name a text, as ids may be null or repeat."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return slim.mapInArrow(Lean(_sketch, width=width), "doc_id long, n long, cid long, regs binary, keys array<long>")
+    return slim.select("doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+
+
+def sketch(texts: DataFrame, width: int) -> DataFrame:
+    """(doc_id, t1, t2, n, cid, regs, keys) of every row: set size, class, registers and band keys."""
+    return texts.mapInArrow(Lean(_sketch, width=width), "doc_id long, t1 long, t2 long, n long, cid long, regs binary, keys array<long>")
 
 
 def _estimates(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -170,13 +175,14 @@ def _confirmed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> I
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _texts(named: DataFrame, reps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(cid, text) of the classes named, written to the shared folder."""
-    wanted = materialize(named.join(reps.select("cid", "doc_id"), "cid"), "wanted")
+def _texts(named: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cid, text) of the classes named, written to the shared folder: the text of each one's chosen row."""
+    wanted = materialize(named.join(reps.select("cid", "t1", "t2"), "cid"), "wanted")
     few = wanted.count() <= MAX_BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, "doc_id")
-    texts = texts.mapInArrow(Lean(_only_class, width=width), "cid long, text binary")
-    return materialize(texts, "texts")
+    texts = docs.join(F.broadcast(wanted) if few else wanted, ["t1", "t2"]).select("cid", "text")
+    found = materialize(texts.groupBy("cid").agg(F.any_value("text").alias("text")), "texts")  # copies of a text come as one
+    discard(wanted)
+    return found
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -197,19 +203,12 @@ def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
     )
     near = materialize(near, "near")
     named = near.select(F.col("a").alias("cid")).union(near.select(F.col("b").alias("cid"))).distinct()
-    texts = _texts(named, reps, docs, width)
+    texts = _texts(named, reps, docs)
     left, right = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
     both = near.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-    return materialize(both.mapInArrow(Lean(_confirmed, width=width, percent=percent), "a long, b long"), "links")
-
-
-def _only_class(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Drop texts that share a wanted doc_id but are of another class."""
-    hashes = WordHashes()
-    for batch in batches:
-        cid, texts = batch.column(batch.schema.get_field_index("cid")), batch.column(batch.schema.get_field_index("text"))
-        keep = [_class_id(shingle_set(t.as_py(), width, hashes)) == c.as_py() for c, t in zip(cid, texts, strict=True)]
-        yield pa.RecordBatch.from_arrays([cid, texts], ["cid", "text"]).filter(pa.array(keep, pa.bool_()))
+    found = materialize(both.mapInArrow(Lean(_confirmed, width=width, percent=percent), "a long, b long"), "links")
+    discard(near, texts)
+    return found
 
 
 def _placed(df: DataFrame, comp: DataFrame, node: str, name: str) -> DataFrame:
@@ -272,7 +271,7 @@ def _left_over(rows: DataFrame, comp: DataFrame, reps: DataFrame, docs: DataFram
         .union(strays.select(F.lit(2).alias("kind"), F.col("key").alias("g"), "cid", "n", "own"))
     )
     left, right = materialize(left.select(*what), "left"), materialize(right.select(*what), "right")
-    texts = _texts(left.select("cid").union(right.select("cid")).distinct(), reps, docs, width)
+    texts = _texts(left.select("cid").union(right.select("cid")).distinct(), reps, docs)
     held = texts.join(reps.select("cid", "regs"), "cid")
 
     def blocks(df: DataFrame, rows_at_once: int, cut: str) -> DataFrame:
@@ -293,7 +292,9 @@ def _left_over(rows: DataFrame, comp: DataFrame, reps: DataFrame, docs: DataFram
     one, two = dealt(left, "cl", "cr", "bl", "br"), dealt(right, "cr", "cl", "br", "bl")
     two = two.select(F.col("task").alias("r_task"), *[F.col(c).alias(c) for c in two.columns if c != "task"])
     found = one.groupBy("task").cogroup(two.groupBy("r_task")).applyInPandas(partial(_meet, width=width, percent=percent), "a long, b long")
-    return materialize(found.distinct(), "links")
+    links = materialize(found.distinct(), "links")
+    discard(at, homes, strays, meetings, left, right, texts, cuts)
+    return links
 
 
 def _meet(left: pd.DataFrame, right: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
@@ -335,8 +336,8 @@ def _meet(left: pd.DataFrame, right: pd.DataFrame, width: int, percent: int) ->
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id and row for every row of ``docs``."""
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    s = materialize(sketch(slim, width, "doc_id", "text"), "sketch")
+    slim = _named_texts(docs, doc_id, text)
+    s = materialize(sketch(slim, width), "sketch")
     full = s.filter("n > 0")
     classes = full.groupBy("cid").agg(F.min("doc_id").alias("least"))
     # one row for each class: the first of those with its smallest id
@@ -354,6 +355,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     more = _left_over(rows, comp, reps, slim, width, percent)
     if not more.isEmpty():
         comp = materialize(components(links.union(more)), "components")
+    discard(rows, reps, tried)
     classes = _placed(classes.withColumnRenamed("cid", "node_id"), comp, "node_id", "root")
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = classes.join(smallest, "root").select(F.col("node_id").alias("cid"), "component_id")
@@ -364,17 +366,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, its smallest id's, with the columns of ``docs``; rows without words all stay."""
-    ids = docs.groupBy(F.col(doc_id).cast("long").alias("g")).agg(F.count(F.lit(1)).alias("rows"))
+    ids = docs.select(F.col(doc_id).cast("long").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
+    key, g, place = fresh(docs, "key", "g", "place")
     if ids.filter("g is null or rows > 1").isEmpty():
         found = materialize(near_duplicates(docs, width, percent, doc_id, text), "near-duplicates")
-        gone = found.filter("not kept").select(F.col("doc_id").alias("g"))
+        gone = found.filter("not kept").select(F.col("doc_id").alias(g))
         few = gone.count() <= MAX_BROADCAST_IDS
-        return docs.join(F.broadcast(gone) if few else gone, F.col(doc_id).cast("long") == F.col("g"), "left_anti")
+        return docs.join(F.broadcast(gone) if few else gone, F.col(doc_id).cast("long") == F.col(g), "left_anti")
     # ids that are null or repeat name no row, so rows get numbers of their own
-    (key,) = fresh(docs, "key")
     marked = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(marked, width, percent, key, text).select(F.col("doc_id").alias("row"), "component_id")
     named = marked.select(F.col(key).alias("row"), F.col(doc_id).cast("long").alias("g")).join(found, "row")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("g").isNull().alias("none"), "g", "row")).alias("m"))
-    chosen = materialize(first.select(F.col("m.row").alias("place")), "chosen")
-    return marked.join(chosen, F.col(key) == F.col("place"), "left_semi").select(*docs.columns)
+    chosen = materialize(first.select(F.col("m.row").alias(place)), "chosen")
+    return marked.join(chosen, F.col(key) == F.col(place), "left_semi").select(*docs.columns)

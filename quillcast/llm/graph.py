@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import materialize
+from quillcast.llm.common import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,7 +28,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("p"))
-        e = materialize(small.select("p.a", "p.b").filter("a <> b").distinct(), "edges")
+        old, e = e, materialize(small.select("p.a", "p.b").filter("a <> b").distinct(), "edges")
+        discard(old)
         now = _state(e)
         if now == state:
             break
