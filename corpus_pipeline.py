@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: five stages, each written and read again."""
+"""From raw documents to packed training sequences: five stages, each written and read again.
+
+Defined results, stage by stage: a null or blank text fails the quality rules; texts without letters and those of no learned language go at language ID (all go, if no
+row has a language to learn from); of near duplicates, repeated rows and equal texts one row stays, whether ids are null or repeat, and ties go to the smallest id; mixing
+samples by id, so rows that share one stay or go together, and null languages or sources are values of their own; packing gives every remaining
+text, however long, its pieces. Empty tables stay empty, and further columns pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +17,7 @@ from quillcast.llm.common import crc_text, materialize, table
 
 #: Near duplicates: shingles of five words, similarity 0.8 or more.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+TOKENIZER = "byte_bpe_50k.json"
 #: Share of the tokens that mixing keeps.
 TOKEN_BUDGET = 0.8
 
@@ -33,12 +40,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled towards the target weights of source, language and topic."""
-    return mixing.sample(docs, budget=TOKEN_BUDGET)
+    return mixing.sample(docs, public_tokenizers.path(TOKENIZER), budget=TOKEN_BUDGET)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents and their places in sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [("quality rules", quality_rules), ("language ID", language), ("near duplicates", near_duplicates), ("mixing", mix), ("packing", pack)]
