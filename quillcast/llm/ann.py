@@ -5,17 +5,19 @@ orderings with shifted grids. Each ordering is range-partitioned and ranked by S
 keys around its own place in every ordering, the windows' finds are merged, and the score of each find is the
 inner product of the original vectors in double precision.
 
-A window spans a share of the ordering, because vectors without any clusters leave neighbours only slightly nearer on a few axes;
-``window`` and ``least`` set it. Inside a group of near copies finer cells and, where keys are still equal, an order of each curve's own let the
-windows see different rows. Equal vectors are one entry that remembers its smallest ids, so a vector that a third of
+How far a window must reach depends on the vectors: clustered ones lie close on some curve, isotropic ones hardly closer than others. So the reach is measured:
+for a stated sample of queries (``TRIAL``) the true neighbours are found by reading all rows once, and the reach is the distance in rows
+within which ``TARGET`` of them lie on at least one curve. Equal keys have an order of each curve's own, so windows inside a group of near copies see different
+rows. Equal vectors are one entry that remembers its smallest ids, so a vector that a third of
 the rows share costs no more than another; ids beyond these can't be among the nearest, as ties go to smaller ids.
 
 Defined results: vectors that are null, zero, of an uncommon length or with null or non-finite components take no part, nor do null ids; repeated
-ids are rows of their own; fewer candidates than asked for are all returned; an empty table gives an empty result; other columns are ignored.
+ids are rows of their own; fewer candidates than asked for are all returned; very long vectors are read whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -29,9 +31,11 @@ from quillcast.llm.common import Lean, materialize, ranked
 
 #: AXES * CELL_BITS bits make a key; cells are fine enough that near copies of one vector spread over many.
 CURVES, AXES, CELL_BITS = 16, 4, 15
-WINDOW, LEAST, BLOCK = 0.1, 1024, 1024
+BLOCK = 256
 FIT_ROWS = 20_000
-QUERIES_AT_ONCE = 1024
+#: Queries whose true neighbours set the reach, and the share of these that must be inside it.
+TRIAL, TARGET = 128, 0.97
+QUERIES_AT_ONCE, SALTS = 512, 64
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -89,28 +93,59 @@ def _keys(batches: Iterator[pa.RecordBatch], basis: np.ndarray, scale: np.ndarra
             )
 
 
+def _nearest(q: np.ndarray, x: np.ndarray, least: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query row, entry row) of the ``keep`` best entries of ``x`` for each row of ``q``, some queries at a time."""
+    out_q, out_x = [], []
+    for a in range(0, len(q), QUERIES_AT_ONCE):
+        for i, row in enumerate(q[a : a + QUERIES_AT_ONCE] @ x.T):
+            if len(row) > keep:
+                # all that tie with the last one stay in until ids decide
+                edge = np.partition(row, len(row) - keep)[len(row) - keep]
+                near = np.nonzero(row >= edge - 1e-12)[0]
+                near = near[np.lexsort((least[near], -row[near]))][: keep + 8]
+            else:
+                near = np.arange(len(row))
+            out_q.append(np.full(len(near), a + i))
+            out_x.append(near)
+    return (np.concatenate(out_q), np.concatenate(out_x)) if out_q else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def _scan(key, queries: pd.DataFrame, block: pd.DataFrame, dims: int, keep: int) -> pd.DataFrame:
     """The best entries of one block of an ordering for each query that looks at it."""
     if not len(queries) or not len(block):
         return pd.DataFrame({"q": [], "cid": [], "score": [], "least": []})
     q = np.frombuffer(b"".join(queries["vec"]), "<f8").reshape(-1, dims)
     x = np.frombuffer(b"".join(block["vec"]), "<f8").reshape(-1, dims)
-    rough, least = q @ x.T, block["least"].to_numpy()
-    out_q, out_x = [], []
-    for i, row in enumerate(rough):
-        if len(row) > keep:
-            # all that tie with the last one stay in until ids decide
-            edge = np.partition(row, len(row) - keep)[len(row) - keep]
-            near = np.nonzero(row >= edge - 1e-12)[0]
-            near = near[np.lexsort((least[near], -row[near]))][: keep + 8]
-        else:
-            near = np.arange(len(row))
-        out_q.append(np.full(len(near), i))
-        out_x.append(near)
-    a, b = np.concatenate(out_q), np.concatenate(out_x)
+    least = block["least"].to_numpy()
+    a, b = _nearest(q, x, least, keep)
     return pd.DataFrame({"q": queries["cid"].to_numpy()[a], "cid": block["cid"].to_numpy()[b], "score": (q[a] * x[b]).sum(axis=1), "least": least[b]})
 
 
+def _trial(batches: Iterator[pa.RecordBatch], names: np.ndarray, q: np.ndarray, keep: int) -> Iterator[pa.RecordBatch]:
+    """The best entries among all rows for the trial queries."""
+    for batch in batches:
+        if batch.num_rows:
+            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<f8").reshape(-1, q.shape[1])
+            a, b = _nearest(q, x, batch.column(2).to_numpy(), keep)
+            cid = batch.column(0).to_numpy()[b]
+            yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(cid), pa.array((q[a] * x[b]).sum(axis=1))], ["q", "cid", "score"])
+
+
+def reach(index: DataFrame, placed: DataFrame, wanted: DataFrame, n: int, k: int, dims: int, trial: int = TRIAL, target: float = TARGET) -> int:
+    """The distance in rows within which ``target`` of the true neighbours of some queries lie on at least one curve."""
+    some = wanted.join(index.select("cid", "vec"), "cid").orderBy(F.xxhash64("cid", F.lit("trial"))).limit(trial).collect()
+    names, q = np.array([r["cid"] for r in some], np.int64), np.array([np.frombuffer(r["vec"], "<f8") for r in some]).reshape(-1, dims)
+    found = index.select("cid", "vec", "least").mapInArrow(Lean(_trial, names=names, q=q, keep=k + 1), "q long, cid long, score double")
+    w = Window.partitionBy("q").orderBy(F.desc("score"), "cid")
+    true = found.filter("q <> cid").withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("q", "cid")
+    true = F.broadcast(materialize(true, "trial"))  # at most trial * k rows
+    at = placed.select("curve", "cid", "at")
+    mine = at.select("curve", F.col("cid").alias("q"), F.col("at").alias("q_at")).join(F.broadcast(true.select("q").distinct()), "q")
+    far = at.join(true, "cid").join(mine, ["curve", "q"]).groupBy("q", "cid").agg(F.min(F.abs(F.col("at") - F.col("q_at"))).alias("far"))
+    gaps = np.array(sorted(r["far"] for r in far.collect()) or [0])
+    return int(min(n, max(k, gaps[min(len(gaps) - 1, math.ceil(target * len(gaps)) - 1)])))
+
+
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(vec_id, v: array of doubles) of the rows that take part."""
     v = F.col(vector).cast("array<double>")
@@ -121,12 +156,18 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.filter(F.size("v") == (common[0]["n"] if common else 0))
 
 
-def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", window: float = WINDOW, least: int = LEAST, curves: int = CURVES, seed: int = 7) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the ``k`` nearest found for rows that ``query_filter`` (a Column on vec_id) picks."""
+def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", curves: int = CURVES, half: int | None = None, seed: int = 7) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the ``k`` nearest found for rows that ``query_filter`` (a Column on vec_id) picks.
+
+    ``half`` is a window's reach to either side in rows; left out, it is measured.
+    """
     spark, keep = vectors.sparkSession, k + 1
     rows = usable(vectors, vec_id, vector)
     grouped = rows.mapInArrow(Lean(_classes, keep=keep), "cid long, vec binary, ids array<long>")
-    merged = grouped.groupBy("cid").agg(F.any_value("vec").alias("vec"), F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"))
+    # equal vectors meet in two steps, so that one with a third of all rows is merged by many tasks first
+    smallest = F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids")
+    grouped = grouped.groupBy("cid", F.pmod(F.xxhash64(F.element_at("ids", 1)), F.lit(SALTS)).alias("salt")).agg(F.any_value("vec").alias("vec"), smallest)
+    merged = grouped.groupBy("cid").agg(F.any_value("vec").alias("vec"), smallest)
     index = materialize(merged.withColumn("least", F.element_at("ids", 1)), "index")
     n = index.count()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -147,24 +188,22 @@ def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id"
     asked = rows.filter(query_filter).select(F.col("vec_id").alias("query_id"), "v")
     asked = asked.select("query_id", "v").mapInArrow(Lean(_named), "query_id long, q long")
     asked = materialize(asked, "queries")
-    half = max(least, int(np.ceil(window * n / 2)))
-    salts = max(1, int(np.ceil((2 * half + BLOCK) / n * max(1, asked.count()) / QUERIES_AT_ONCE)))
     wanted = asked.select(F.col("q").alias("cid")).distinct()
+    half = reach(index, placed, wanted, n, k, dims) if half is None else half
+    # a block meets the queries of its window only: at most 2 * half + BLOCK of them, as each place holds one entry
     blocks = placed.select("curve", F.expr(f"at div {BLOCK}").alias("block"), "cid", "vec", "least")
-    spread = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")) if salts > 1 else blocks.withColumn("salt", F.lit(0))
     own_places = placed.select(*[F.col(c).alias(f"q_{c}") for c in placed.columns]).toDF(*placed.columns)
     looks = own_places.join(wanted, "cid", "left_semi").select(
         "curve",
         F.explode(F.sequence(F.expr(f"greatest(at - {half}, 0) div {BLOCK}"), F.expr(f"least(at + {half}, {n - 1}) div {BLOCK}"))).alias("block"),
         "cid",
         "vec",
-        F.pmod(F.xxhash64("cid"), F.lit(salts)).cast("int").alias("salt"),
     )
-    keys = ["curve", "block", "salt"]
+    keys = ["curve", "block"]
     finds = (
         looks.select(*[F.col(c).alias(c) for c in looks.columns])
         .groupBy(*keys)
-        .cogroup(spread.groupBy(*keys))
+        .cogroup(blocks.groupBy(*keys))
         .applyInPandas(partial(_scan, dims=dims, keep=keep), "q long, cid long, score double, least long")
     )
     merged = finds.groupBy("q", "cid").agg(F.max("score").alias("score"), F.min("least").alias("least"))
