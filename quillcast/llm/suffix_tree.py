@@ -12,8 +12,8 @@ over its symbols from the longest suffix state of its history.
 No task and no driver holds the tree or the words. Texts become bundles of word places, written once. Slices of the bundles' words, cut by
 hash, are counted and numbered each in one task, and the bundles get their words' counts and numbers back. Each position sends its last four words to the task of
 its previous word, in packed blocks; all contexts that end in this word, the branch of the tree, live there, are counted, tested and used there,
-and only the texts' sums leave. Words more frequent than a task should hold are split by the next word; as all
-statistics of a state are sums over next words, the splits exchange them first.
+and only the texts' sums leave. The branch of a word more frequent than a task should hold is split by the word before it, so that longer contexts stay whole;
+the splits first add up the counts of the word's own entries, in packed slices.
 
 Defined results: null and blank texts have the end only; very long texts are one bundle each; repeated rows are scored alike and all counted in
 training; null ids stay; with no training texts N and V are 0 and the score equals the base score; an empty table gives an empty result; other columns are ignored.
@@ -40,7 +40,6 @@ END = b"\n"  # no word holds a line break
 BUNDLE_TOKENS, PART_WINDOWS = 800_000, 750_000
 #: Words of bundles that one task counts and numbers.
 SLICE_WORDS = 1_000_000
-_TOTALS = "part long, d int, w1 long, w2 long, w3 long, c long, kept long, entries long, gain double"
 
 
 def word_hash(word: bytes) -> int:
@@ -65,10 +64,12 @@ def _packed(*columns: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    """The columns of ``_packed`` as rows of an array."""
+def _unpacked(data: bytes, n: int, columns: int = 1) -> np.ndarray:
+    """The columns of ``_packed`` as rows of an array (``columns`` counts only where they are empty)."""
     import zstandard
 
+    if not n:
+        return np.zeros((columns, 0), "<u4")
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
     return np.ascontiguousarray(planes.reshape(-1, 4, n).transpose(0, 2, 1)).view("<u4").reshape(-1, n)
 
@@ -179,10 +180,10 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, int], depth: int, hot_only: bool) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple[int, int]], depth: int, hot_only: bool) -> Iterator[pa.RecordBatch]:
     """Blocks of positions by the task of their previous word: the three words before, the next word, its count, its text."""
     splits = np.ones(max(hot, default=0) + 2, np.int64)
-    splits[list(hot)] = list(hot.values())
+    splits[list(hot)] = [k for k, _ in hot.values()]
     for bundle, _, learn, sizes, at, counts, numbers in _opened(batches):
         word, c = numbers[at], counts[at]
         text = np.repeat(np.arange(len(sizes)), sizes)
@@ -191,8 +192,8 @@ def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, int],
         (some,) = np.nonzero(before[0] > 0)
         w1, w = before[0][some], word[some]
         s = splits[np.minimum(w1, len(splits) - 1)]
-        # a rare next word is in no entry, so its position may go to any split
-        j = (_spread(np.where(w > 0, w, some + (1 << 33))) % s.astype(np.uint64)).astype(np.int64)
+        # where no longer context is, the position may go to any split
+        j = (_spread(np.where(before[1][some] > 0, before[1][some], some + (1 << 33))) % s.astype(np.uint64)).astype(np.int64)
         part = np.where(s > 1, -1 - (w1 << 20 | j), (_spread(w1) % np.uint64(parts)).astype(np.int64))
         if hot_only:
             some, w1, w, part = (x[s > 1] for x in (some, w1, w, part))
@@ -211,17 +212,18 @@ def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, int],
 
 
 class Branch:
-    """The contexts and entries of one task's positions, for each depth from 1 on."""
+    """The contexts and entries of one task's positions, for each depth from 1 on.
 
-    def __init__(self, columns: np.ndarray, n_train: int, depth: int):
+    ``shared``, of a split branch, is its word's count, its next words with their counts over all splits, and the sums over these.
+    """
+
+    def __init__(self, columns: np.ndarray, n_train: int, depth: int, shared: tuple | None = None):
         w1, w2, w3, w, c, text = columns.astype(np.int64)
         train, none = (text & 1).astype(bool), np.full(len(w), -1, np.int64)
-        self.w, self.c, self.words = w, c, (w1, w2, w3)
-        self.state, self.entry, self.example, self.count, self.seen, self.kept = [], [], [], [], [], []
+        self.c, self.n_train = c, n_train
+        self.state, self.entry, self.example, self.seen, self.kept, self.sums = [], [], [], [], [], []
         above_state, above_seen, above_entry = np.zeros(len(w), np.int64), None, None
-        self.sums = []
-        for d in range(depth):
-            older = self.words[d]
+        for d, older in enumerate((w1, w2, w3)[:depth]):
             ok = (older > 0) & (above_state >= 0)
             state = none.copy()
             _, example, state[ok] = np.unique(above_state[ok] << np.int64(32) | older[ok], return_index=True, return_inverse=True)
@@ -231,39 +233,23 @@ class Branch:
             entry = none.copy()
             _, first, entry[with_entry] = np.unique(state[with_entry] << np.int64(32) | w[with_entry], return_index=True, return_inverse=True)
             first = np.nonzero(with_entry)[0][first]
-            count = np.bincount(state[ok & train], minlength=n_states)
-            seen = np.bincount(entry[with_entry & train], minlength=len(first))
-            kept = seen >= LEAST
-            # an entry's count below the suffix: the word's own count at the root
-            below = (c[first] if above_entry is None else above_seen[above_entry[first]]) if len(first) else np.zeros(0)
-            s = state[first][kept]
-            gain = np.bincount(s, seen[kept] * np.log(seen[kept] / below[kept]), n_states)
-            self.sums.append((count, np.bincount(s, seen[kept], n_states).astype(np.int64), np.bincount(s, minlength=n_states), gain))
+            if shared and not d:
+                total, words, counts, sums = shared
+                seen = counts[np.searchsorted(words, w[first])]
+                kept = seen >= LEAST
+                self.sums.append(tuple(np.array([x]) for x in (total, *sums)))
+            else:
+                count = np.bincount(state[ok & train], minlength=n_states)
+                seen = np.bincount(entry[with_entry & train], minlength=len(first))
+                kept = seen >= LEAST
+                # an entry's count below the suffix: the word's own count at the root
+                below = (c[first] if above_entry is None else above_seen[above_entry[first]]) if len(first) else np.zeros(0)
+                s = state[first][kept]
+                gain = np.bincount(s, seen[kept] * np.log(seen[kept] / below[kept]), n_states)
+                self.sums.append((count, np.bincount(s, seen[kept], n_states).astype(np.int64), np.bincount(s, minlength=n_states), gain))
             for x, y in ((self.state, state), (self.entry, entry), (self.seen, seen), (self.kept, kept)):
                 x.append(y)
             above_state, above_seen, above_entry = state, seen, entry
-        self.n_train = n_train
-
-    def totals(self, part: int) -> pa.Table:
-        """The sums of every context, as rows to exchange between splits."""
-        out = []
-        for d, (at, sums) in enumerate(zip(self.example, self.sums, strict=True)):
-            names = [x[at] * (k <= d) for k, x in enumerate(self.words)]
-            out.append([np.full(len(at), part), np.full(len(at), d, np.int32), *names, *sums])
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
-        return pa.table(dict(zip(("part", "d", "w1", "w2", "w3", "c", "kept", "entries", "gain"), columns, strict=True)))
-
-    def use(self, totals: pa.Table) -> None:
-        """Put the exchanged sums in place of this split's own."""
-        t = {n: totals.column(n).to_numpy() for n in totals.column_names}
-        for d, at in enumerate(self.example):
-            mine = np.stack([x[at] for x in self.words[: d + 1]])
-            rows = np.nonzero(t["d"] == d)[0]
-            theirs = np.stack([t[f"w{k + 1}"][rows] for k in range(d + 1)])
-            rows = rows[np.lexsort(theirs[::-1])]
-            own = np.empty(len(at), np.int64)
-            own[np.lexsort(mine[::-1])] = rows  # every context of a split was sent out, so both sides hold the same ones
-            self.sums[d] = tuple(t[n][own] for n in ("c", "kept", "entries", "gain"))
 
     def gains(self, n: int, v: int) -> np.ndarray:
         """log10 P(word | longest state) - log10 P(word | root) of each position."""
@@ -300,19 +286,50 @@ def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(blocks, axis=1), np.repeat(table.column("bundle").to_numpy(), sizes)
 
 
-def _split_sums(key, table, n, depth):
-    columns, _ = _columns(table)
-    return Branch(columns, n, depth).totals(key[0].as_py())
-
-
-def _branch_scores(key, table: pa.Table, totals: pa.Table, n: int, v: int, depth: int) -> pa.Table:
+def _split_entries(key, table, hot):
+    """The next words of a split branch with their training counts, in slices that the branch's splits share."""
+    part = key[0].as_py()
+    w1 = (-1 - part) >> 20
+    (_, _, _, w, c, text), _ = _columns(table)
+    some = w > 0
+    words, first, place = np.unique(w[some], return_index=True, return_inverse=True)
+    counts = np.bincount(place[(text[some] & 1).astype(bool)], minlength=len(words))
+    slices = hot[w1][0]
+    at = (_spread(words) % np.uint64(slices)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    cuts = np.searchsorted(at[order], np.arange(slices + 1))
+    columns = words[order], counts[order], c[some][first][order]
+    data = [_packed(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return pa.table({"slice": pa.array([w1 << 20 | k for k in range(slices)], pa.int64()), "part": pa.array([part] * slices, pa.int64()), "n": pa.array(np.diff(cuts)), "data": pa.array(data, pa.binary())})
+
+
+def _shared_entries(key, table):
+    """A slice's counts over all splits, for each split; and the slice's sums over kept entries."""
+    sizes = table.column("n").to_numpy()
+    words, counts, c = np.concatenate([_unpacked(x.as_py(), int(k), 3) for x, k in zip(table.column("data"), sizes, strict=True)], axis=1)
+    found, first, place = np.unique(words, return_index=True, return_inverse=True)
+    total = np.bincount(place, counts, len(found)).astype(np.int64)
+    kept = total >= LEAST
+    gain = float((total[kept] * np.log(total[kept] / c[first][kept])).sum())
+    ends, rows = np.cumsum(sizes), len(sizes)
+    data = [_packed(words[e - k : e], total[place[e - k : e]]) for e, k in zip(ends, sizes, strict=True)]
+    sums = {"kept": pa.array([int(total[kept].sum())] * rows, pa.int64()), "entries": pa.array([int(kept.sum())] * rows, pa.int64()), "gain": pa.array([gain] * rows, pa.float64())}
+    return pa.table({"part": table.column("part"), "n": table.column("n"), "data": pa.array(data, pa.binary()), **sums})
+
+
+def _branch_scores(key, table: pa.Table, shared: pa.Table, n: int, v: int, depth: int, hot: dict) -> pa.Table:
     """Per bundle, the sums of gains of its texts over this task's positions."""
     bundles, docs, gains = [], [], []
     if table.num_rows:
         columns, bundle = _columns(table)
-        branch = Branch(columns, n, depth)
-        if totals.num_rows:
-            branch.use(totals)
+        entries = None
+        if shared.num_rows:
+            words, counts = np.concatenate([_unpacked(x.as_py(), k.as_py(), 2) for x, k in zip(shared.column("data"), shared.column("n"), strict=True)], axis=1).astype(np.int64)
+            order = np.argsort(words)
+            # every slice of the branch sent its sums to every split
+            sums = [shared.column(x).to_numpy().sum() for x in ("kept", "entries", "gain")]
+            entries = hot[int(columns[0, 0])][1], words[order], counts[order], sums
+        branch = Branch(columns, n, depth, entries)
         order = np.lexsort((columns[5], bundle))
         name = np.stack([bundle[order], columns[5][order].astype(np.int64) >> 1])
         cuts = np.concatenate([[0], np.nonzero(np.any(name[:, 1:] != name[:, :-1], axis=0))[0] + 1])
@@ -351,7 +368,7 @@ def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str
     numbered = materialize(numbered, "numbers")
     n, v = (int(x or 0) for x in numbered.filter("bundle = -1").agg(F.sum("n"), F.sum("v")).first())
     # at most as many words as there are positions over what a task should hold
-    hot = {r["w"]: math.ceil(r["c"] / part_windows) + 1 for r in numbered.select(F.inline(F.arrays_zip(F.col("hot").alias("w"), F.col("times").alias("c")))).collect()}
+    hot = {r["w"]: (math.ceil(r["c"] / part_windows) + 1, r["c"]) for r in numbered.select(F.inline(F.arrays_zip(F.col("hot").alias("w"), F.col("times").alias("c")))).collect()}
     schema = "bundle long, docs array<long>, learn array<boolean>, sizes array<int>, data binary"
     texts = bundles.select("bundle", "docs", "learn", "sizes", "data").groupBy("bundle")
     back = numbered.filter("bundle >= 0").select(F.col("bundle").alias("n_bundle"), "slice", "size", "data").groupBy("n_bundle")
@@ -362,16 +379,14 @@ def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str
     base = known.mapInArrow(Lean(_base, n=n, v=v), "bundle long, docs array<long>, n_tokens array<long>, known array<long>, base array<double>")
     cut = partial(Lean, _windows, parts=parts, hot=hot, depth=depth)
     block = "part long, bundle long, n long, data binary"
-    totals = spark.createDataFrame([], _TOTALS)
+    entries = "part long, n long, data binary"
+    shared = spark.createDataFrame([], f"{entries}, kept long, entries long, gain double")
     if hot:
-        names = ["d", "w1", "w2", "w3"]
-        sent = known.mapInArrow(cut(hot_only=True), block).groupBy("part").applyInArrow(partial(_split_sums, n=n, depth=depth), _TOTALS)
-        sent = materialize(sent, "split-sums")
-        summed = sent.groupBy(*names).agg(*[F.sum(c).alias(c) for c in ("c", "kept", "entries", "gain")])
-        totals = sent.select("part", *names).join(summed, names).select("part", *names, "c", "kept", "entries", "gain")
-    totals = totals.withColumnRenamed("part", "t_part")
+        split = known.mapInArrow(cut(hot_only=True), block).groupBy("part").applyInArrow(partial(_split_entries, hot=hot), f"slice long, {entries}")
+        shared = split.groupBy("slice").applyInArrow(_shared_entries, f"{entries}, kept long, entries long, gain double")
+    shared = shared.withColumnRenamed("part", "s_part")
     windows = known.mapInArrow(cut(hot_only=False), block) if n else spark.createDataFrame([], block)
-    found = windows.groupBy("part").cogroup(totals.groupBy("t_part")).applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth), "bundle long, texts binary, gains binary")
+    found = windows.groupBy("part").cogroup(shared.groupBy("s_part")).applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth, hot=hot), "bundle long, texts binary, gains binary")
     found = found.withColumnRenamed("bundle", "g_bundle")
     rows = base.groupBy("bundle").cogroup(found.groupBy("g_bundle")).applyInArrow(_joined, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return rows.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
