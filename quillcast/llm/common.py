@@ -47,13 +47,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of ``materialize`` that nothing will read again (all that was computed from them is written)."""
+    """Delete tables of ``materialize`` that nothing will read again (all that was computed from them is written).
+
+    The driver's collector is asked to run, so that Spark's cleaner drops the shuffle files behind them too.
+    """
     for df in tables:
         path = getattr(df, "_shared_path", None)
         if path:
             jvm = df.sparkSession._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    if tables:
+        tables[0].sparkSession._jvm.java.lang.System.gc()
 
 
 def release() -> None:

@@ -180,8 +180,11 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple[int, int]], depth: int, hot_only: bool) -> Iterator[pa.RecordBatch]:
-    """Blocks of positions by the task of their previous word: the three words before, the next word, its count, its text."""
+def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple[int, int]], depth: int, pairs: bool) -> Iterator[pa.RecordBatch]:
+    """Blocks of positions by the task of their previous word: the three words before, the next word, its count, its text.
+
+    With ``pairs``, only what splits share: each frequent word's next words in this bundle, their training counts and counts in all.
+    """
     splits = np.ones(max(hot, default=0) + 2, np.int64)
     splits[list(hot)] = [k for k, _ in hot.values()]
     for bundle, _, learn, sizes, at, counts, numbers in _opened(batches):
@@ -195,20 +198,32 @@ def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple
         # where no longer context is, the position may go to any split
         j = (_spread(np.where(before[1][some] > 0, before[1][some], some + (1 << 33))) % s.astype(np.uint64)).astype(np.int64)
         part = np.where(s > 1, -1 - (w1 << 20 | j), (_spread(w1) % np.uint64(parts)).astype(np.int64))
-        if hot_only:
-            some, w1, w, part = (x[s > 1] for x in (some, w1, w, part))
+        if pairs:
+            some, w, part = (x[s > 1] for x in (some, w, part))  # rare words stand together as 0, so every split sends something
+            order = np.lexsort((w, part))
+            some, w, part = some[order], w[order], part[order]
+            new = np.nonzero(np.concatenate([[True], (np.diff(w) != 0) | (np.diff(part) != 0)]))[0] if len(w) else np.zeros(0, np.int64)
+            train = learn[text[some]].astype(np.int64)
+            columns = w[new], np.add.reduceat(train, new) if len(new) else train, c[some[new]]
+            yield _blocks(bundle, part[new], columns)
+            continue
         order = np.lexsort((w, w1, part))
         some, part = some[order], part[order]
         w2 = before[1][some] if depth > 1 else np.zeros(len(some), np.int64)
         w3 = before[2][some] * (w2 > 0) if depth > 2 else np.zeros(len(some), np.int64)
         t = text[some]
         columns = w1[order], w2, w3, w[order], c[some], t << 1 | learn[t]
-        cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
-        data = [_packed(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part[cuts[:-1]], pa.int64()), pa.array(np.full(len(data), bundle), pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(data, pa.binary())],
-            ["part", "bundle", "n", "data"],
-        )
+        yield _blocks(bundle, part, columns)
+
+
+def _blocks(bundle: int, part: np.ndarray, columns: tuple) -> pa.RecordBatch:
+    """Columns sorted by ``part`` as one packed block for each."""
+    cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
+    data = [_packed(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[cuts[:-1]], pa.int64()), pa.array(np.full(len(data), bundle), pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(data, pa.binary())],
+        ["part", "bundle", "n", "data"],
+    )
 
 
 class Branch:
@@ -290,15 +305,14 @@ def _split_entries(key, table, hot):
     """The next words of a split branch with their training counts, in slices that the branch's splits share."""
     part = key[0].as_py()
     w1 = (-1 - part) >> 20
-    (_, _, _, w, c, text), _ = _columns(table)
-    some = w > 0
-    words, first, place = np.unique(w[some], return_index=True, return_inverse=True)
-    counts = np.bincount(place[(text[some] & 1).astype(bool)], minlength=len(words))
+    (w, times, c), _ = _columns(table)
+    words, first, place = np.unique(w, return_index=True, return_inverse=True)
+    counts = np.bincount(place, times, len(words)).astype(np.int64)
     slices = hot[w1][0]
     at = (_spread(words) % np.uint64(slices)).astype(np.int64)
     order = np.argsort(at, kind="stable")
     cuts = np.searchsorted(at[order], np.arange(slices + 1))
-    columns = words[order], counts[order], c[some][first][order]
+    columns = words[order], counts[order], c[first][order]
     data = [_packed(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
     return pa.table({"slice": pa.array([w1 << 20 | k for k in range(slices)], pa.int64()), "part": pa.array([part] * slices, pa.int64()), "n": pa.array(np.diff(cuts)), "data": pa.array(data, pa.binary())})
 
@@ -309,7 +323,7 @@ def _shared_entries(key, table):
     words, counts, c = np.concatenate([_unpacked(x.as_py(), int(k), 3) for x, k in zip(table.column("data"), sizes, strict=True)], axis=1)
     found, first, place = np.unique(words, return_index=True, return_inverse=True)
     total = np.bincount(place, counts, len(found)).astype(np.int64)
-    kept = total >= LEAST
+    kept = (total >= LEAST) & (found > 0)
     gain = float((total[kept] * np.log(total[kept] / c[first][kept])).sum())
     ends, rows = np.cumsum(sizes), len(sizes)
     data = [_packed(words[e - k : e], total[place[e - k : e]]) for e, k in zip(ends, sizes, strict=True)]
@@ -382,10 +396,10 @@ def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str
     entries = "part long, n long, data binary"
     shared = spark.createDataFrame([], f"{entries}, kept long, entries long, gain double")
     if hot:
-        split = known.mapInArrow(cut(hot_only=True), block).groupBy("part").applyInArrow(partial(_split_entries, hot=hot), f"slice long, {entries}")
+        split = known.mapInArrow(cut(pairs=True), block).groupBy("part").applyInArrow(partial(_split_entries, hot=hot), f"slice long, {entries}")
         shared = split.groupBy("slice").applyInArrow(_shared_entries, f"{entries}, kept long, entries long, gain double")
     shared = shared.withColumnRenamed("part", "s_part")
-    windows = known.mapInArrow(cut(hot_only=False), block) if n else spark.createDataFrame([], block)
+    windows = known.mapInArrow(cut(pairs=False), block) if n else spark.createDataFrame([], block)
     found = windows.groupBy("part").cogroup(shared.groupBy("s_part")).applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth, hot=hot), "bundle long, texts binary, gains binary")
     found = found.withColumnRenamed("bundle", "g_bundle")
     rows = base.groupBy("bundle").cogroup(found.groupBy("g_bundle")).applyInArrow(_joined, "doc_id long, n_tokens long, n_known long, base_score double, score double")
