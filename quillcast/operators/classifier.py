@@ -10,9 +10,9 @@ from typing import Protocol
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.pipeline import Pipeline
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +26,7 @@ MANNER_VERBS = (
 )
 SOUND_NOUNS = ("голос", "тон", "шёпот", "крик", "хрип", "интонация", "дрожь")
 MANNER_PREPOSITIONS = ("с", "со", "без")
+# Fixed value: what counts as a spoken span.
 SPEECH_SPAN = re.compile(r'«[^»]+»|"[^"\n]{2,}"|(?:^|\n)\s*[—–-]\s+[^—–\n]*')
 
 
@@ -99,19 +100,12 @@ def char_ngrams(text: Column, least: int = 3, most: int = 5) -> Column:
     return F.flatten(F.transform(words, of))
 
 
-def pipeline(text: str = "text", context: str = "context", flags: tuple[str, ...] = ("v1", "v2"), n_rows: int = 1, vocabulary: int = 50_000, label: str = "label", weight: str = "w") -> Pipeline:
-    """Unfitted stages from gram arrays ``<text>_grams`` and ``<context>_grams`` to a probability."""
-    stages, parts = [], []
-    for c in (text, context):
-        stages += [
-            CountVectorizer(inputCol=f"{c}_grams", outputCol=f"{c}_tf", vocabSize=vocabulary, minDF=2),
-            IDF(inputCol=f"{c}_tf", outputCol=f"{c}_idf"),
-        ]
-        parts.append(f"{c}_unit")
-        stages.append(Normalizer(inputCol=f"{c}_idf", outputCol=f"{c}_unit", p=2.0))
-    stages.append(VectorAssembler(inputCols=[*parts, *flags], outputCol="features"))
-    stages.append(LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=100, regParam=1.0 / max(n_rows, 1), standardization=False))
-    return Pipeline(stages=stages)
+def grams_model(rows: DataFrame, column: str, vocabulary: int) -> list:
+    """Fitted stages from gram arrays to unit vectors of tf * (ln((1 + n) / (1 + df)) + 1)."""
+    counter = CountVectorizer(inputCol=f"{column}_grams", outputCol=f"{column}_tf", vocabSize=vocabulary, minDF=2).fit(rows)
+    idf = IDF(inputCol=f"{column}_tf", outputCol=f"{column}_idf").fit(counter.transform(rows)).idf
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol=f"{column}_tf", outputCol=f"{column}_idf")
+    return [counter, scale, Normalizer(inputCol=f"{column}_idf", outputCol=f"{column}_unit", p=2.0)]
 
 
 def prepared(df: DataFrame, text: str = "text", context: str = "context") -> DataFrame:
@@ -126,9 +120,14 @@ def balanced(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(F.broadcast(weights), label)  # a row a class
 
 
-def fit(df: DataFrame, label: str = "label", **options) -> PipelineModel:
-    rows = balanced(prepared(df), label)
-    return pipeline(n_rows=df.count(), label=label, **options).fit(rows)
+def fit(df: DataFrame, label: str = "label", text: str = "text", context: str = "context", flags: tuple[str, ...] = ("v1", "v2"), vocabulary: int = 50_000, max_iter: int = 1000) -> PipelineModel:
+    """Both texts' grams and the flags, then logistic regression with balanced classes and a penalty of 1 / rows."""
+    rows = balanced(prepared(df, text, context), label)
+    stages = grams_model(rows, text, vocabulary) + grams_model(rows, context, vocabulary)
+    stages.append(VectorAssembler(inputCols=[f"{text}_unit", f"{context}_unit", *flags], outputCol="features"))
+    train = PipelineModel(stages).transform(rows)
+    regression = LogisticRegression(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter, regParam=1.0 / max(df.count(), 1), standardization=False)
+    return PipelineModel([*stages, regression.fit(train)])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

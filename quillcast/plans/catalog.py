@@ -7,6 +7,7 @@ paragraphs of books, documents descriptions, events recognised words, pages docu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from quillcast.functions import numeric, text
 from quillcast.operators import align, classifier, labels, manifest, names, paragraphs, prompts, sampling, scores, split, transcripts
 from quillcast.sources import documents as html
+from quillcast.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -390,14 +392,29 @@ def _planted(spark, d):
     return c.join(whole, "conv_id").select("conv_id", "turn", F.col("text").alias("q"), F.col("joined_text").alias("joined"))
 
 
-@query()
+_PLANTED_SQL = "SELECT conv_id, turn, text FROM conversations WHERE length(text) > 0 AND conv_id IS NOT NULL"
+
+
+# every planted sign occurs nowhere else, so each costs one edit and no more
+@query(
+    f"""WITH p AS ({_PLANTED_SQL}), k AS (SELECT *, CASE WHEN turn % 2 = 1 THEN length(text) - length(regexp_replace(text, '[vV]', '', 'g')) ELSE 0 END AS n FROM p)
+ SELECT conv_id, turn, n::BIGINT AS distance, round(n / length(text), 9) AS ratio FROM k"""
+)
 def q31_infix_distance(spark, d):
-    return align.distances(_planted(spark, d), "q", "joined").select("conv_id", "turn", "distance", "ratio")
+    p = _planted(spark, d).withColumn("q", F.when(F.col("turn") % 2 == 1, F.translate("q", "vV", "¤¤")).otherwise(F.col("q")))
+    return align.distances(p, "q", "joined").select("conv_id", "turn", "distance", F.round("ratio", 9).alias("ratio"))
 
 
-@query()
+@query(
+    f"""WITH p AS ({_PLANTED_SQL}), k AS (SELECT *, length(text) AS m, CASE WHEN turn % 3 = 2 THEN length(text) - length(regexp_replace(text, '[aeiouAEIOU]', '', 'g')) ELSE 0 END AS n FROM p)
+ SELECT conv_id, turn, CASE WHEN turn % 3 <> 1 AND n <= greatest(m // 2, 10) THEN round_even(n / m * 1000, 0) / 1000 END AS ratio,
+ CASE WHEN turn % 3 = 1 THEN 'no_audio_json' WHEN n <= greatest(m // 2, 10) AND n / m < 0.35 THEN 'ok' ELSE 'mismatch' END AS status FROM k"""
+)
 def q32_pair_gate(spark, d):
-    p = _planted(spark, d).select("conv_id", "turn", F.col("q").alias("sample_text"), F.when(F.col("turn") < 3, F.col("joined")).alias("audio_text"))
+    kind = F.col("turn") % 3
+    p = _planted(spark, d).select(
+        "conv_id", "turn", F.when(kind == 2, F.translate("q", "aeiouAEIOU", "¤" * 10)).otherwise(F.col("q")).alias("sample_text"), F.when(kind != 1, F.col("joined")).alias("audio_text")
+    )
     return align.check_pairs(p).select("conv_id", "turn", "ratio", "status")
 
 
@@ -501,3 +518,94 @@ def q44_union_axes(spark, d):
 @query("SELECT doc_id, sha256(text) AS checksum, md5(text) AS content_md5 FROM documents")
 def q45_file_checksum(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("checksum"), F.md5("text").alias("content_md5"))
+
+
+@query(
+    r"""WITH p AS (SELECT doc_id, text, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS parts FROM documents),
+ k AS (SELECT *, list_transform(parts, lambda x, i: {'n': -length(x), 'i': i, 'p': x}) AS keyed FROM p),
+ h AS (SELECT *, list_sort(list_filter(keyed, lambda x: -x.n BETWEEN 100 AND 350))[1].p AS handy, list_sort(keyed)[1].p AS longest FROM k)
+ SELECT doc_id, len(parts)::INT AS parts, coalesce(handy, substring(longest, 1, 300)) AS sample, right(regexp_replace(regexp_replace(text, '[^0-9a-zA-Zа-яА-Я]+', '_', 'g'), '^_+|_+$', '', 'g'), 150) AS safe FROM h"""
+)
+def q46_paragraph_samples(spark, d):
+    t = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", F.size(text.blank_line_parts(t)).alias("parts"), text.sample_paragraph(t).alias("sample"), text.safe_name(t).alias("safe"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+def q47_csv_round_trip(spark, d):
+    path = tables.scratch_path(spark, "orders-csv")
+    tables.write_csv(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"), path)
+    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string, o_orderstatus string"
+    return tables.read_csv_present(spark, [path, f"{path}-absent"], schema).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+@query(
+    """SELECT 'texts' AS what, count(DISTINCT text)::BIGINT AS n FROM documents UNION ALL SELECT 'sources', count(DISTINCT source) FROM documents UNION ALL SELECT 'langs', count(DISTINCT lang) FROM documents
+ UNION ALL SELECT 'null ' || c, n FROM (SELECT 'text' AS c, count(*) FILTER (text IS NULL) AS n FROM documents UNION ALL SELECT 'quality', count(*) FILTER (quality IS NULL) FROM labels)"""
+)
+def q48_counts(spark, d):
+    docs = _t(spark, d, "documents")
+    distinct = docs.agg(F.count_distinct("text").alias("texts"), F.count_distinct("source").alias("sources"), F.count_distinct("lang").alias("langs"))
+    distinct = distinct.select(F.inline(F.array(*[F.struct(F.lit(c).alias("what"), F.col(c).alias("n")) for c in ("texts", "sources", "langs")])))
+    nulls = manifest.null_counts(docs, ["text"]).union(manifest.null_counts(_t(spark, d, "labels"), ["quality"]))
+    return distinct.union(nulls.select(F.concat(F.lit("null "), "column"), F.col("nulls").cast("long")))
+
+
+@query("SELECT event_id, round(CASE WHEN value > 0 THEN 12 * log2(value) END, 6) AS semitones, round(100.0 * user_id / greatest(event_id, 1), 6) AS percent FROM events")
+def q49_semitones(spark, d):
+    e = _t(spark, d, "events")
+    return e.select("event_id", F.round(numeric.semitones(F.col("value")), 6).alias("semitones"), F.round(numeric.percent(F.col("user_id"), F.col("event_id")), 6).alias("percent"))
+
+
+@query(
+    """WITH l AS (SELECT DISTINCT doc_id FROM labels), t AS (SELECT doc_id FROM labels WHERE toxic = 1), d AS (SELECT doc_id, source FROM documents)
+ SELECT 'listed' AS what, doc_id FROM d WHERE doc_id IN (SELECT doc_id FROM l) UNION ALL SELECT 'unlisted', doc_id FROM d WHERE doc_id NOT IN (SELECT doc_id FROM l)
+ UNION ALL (SELECT 'both', doc_id FROM d INTERSECT SELECT 'both', doc_id FROM t)
+ UNION ALL SELECT 'pair open', doc_id FROM d WHERE (doc_id, source) NOT IN (SELECT doc_id, source FROM documents WHERE source = 'src1' AND doc_id IN (SELECT doc_id FROM l))"""
+)
+def q50_set_operators(spark, d):
+    docs, lab = _t(spark, d, "documents").select("doc_id", "source"), _t(spark, d, "labels")
+    done = sampling.only(docs.filter("source = 'src1'"), lab, "doc_id")
+    parts = {
+        "listed": sampling.only(docs, lab, "doc_id"),
+        "unlisted": sampling.without(docs, "doc_id", lab.filter("toxic = 1"), lab.filter("toxic = 0"), lab.filter("toxic is null")),
+        "both": sampling.overlap(docs, lab.filter("toxic = 1"), "doc_id"),
+        "pair open": sampling.not_done(docs, done, ["doc_id", "source"]),
+    }
+    return reduce(DataFrame.unionByName, [p.select(F.lit(k).alias("what"), "doc_id") for k, p in parts.items()])
+
+
+@query("SELECT lang, source, least(count(*), 5)::BIGINT AS n, least(count(*), 5)::BIGINT AS ids FROM documents GROUP BY lang, source")
+def q51_sample_per_group(spark, d):
+    some = sampling.sample_per_group(_t(spark, d, "documents").select("lang", "source", "doc_id"), ["lang", "source"], "doc_id", 5, seed=3)
+    return some.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"))
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, NULL::DOUBLE AS loudness, lang FROM documents")
+def q52_reindex(spark, d):
+    return sampling.ensure_columns(_t(spark, d, "documents"), {"doc_id": "string", "loudness": "double", "lang": "string"})
+
+
+@query("SELECT c_custkey, c_name || '|' || c_nationkey AS line FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, c_name || '|' || (c_nationkey + 100) FROM customer WHERE c_custkey % 2 = 1")
+def q53_append_and_rewrite(spark, d):
+    path = tables.scratch_path(spark, "customers")
+    rows = _t(spark, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").cast("long").alias("c_nationkey"))
+    for k in (0, 1):
+        tables.append(rows.filter(F.col("c_custkey") % 2 == k), path)
+    tables.rewrite(spark, path, lambda t: t.withColumn("c_nationkey", F.when(F.col("c_custkey") % 2 == 1, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))))
+    return spark.read.parquet(path).select("c_custkey", F.concat("c_name", F.lit("|"), F.col("c_nationkey").cast("string")).alias("line"))
+
+
+@query("SELECT conv_id AS book_id, turn AS chunk_id, text AS chunk_text FROM conversations WHERE conv_id IS NOT NULL")
+def q54_jsonl_by_book(spark, d):
+    path = tables.scratch_path(spark, "books")
+    rows = _t(spark, d, "conversations").filter("conv_id is not null").select(F.col("conv_id").alias("book_id"), F.col("turn").alias("chunk_id"), F.col("text").alias("chunk_text"))
+    tables.write_books(rows.withColumn("shelf", F.pmod("book_id", F.lit(7))), path, "shelf")
+    return spark.read.schema("book_id long, chunk_id long, chunk_text string").json(path).select("book_id", "chunk_id", "chunk_text")
+
+
+@query("SELECT doc_id, list_transform(regexp_extract_all(text, '[а-яёА-ЯЁ]+'), lambda x: x)::VARCHAR AS words, round(n_chars / nullif(length(text), 0), 6)::VARCHAR AS ratio FROM documents")
+def q55_cyrillic_words(spark, d):
+    words = text.cyrillic_words(F.col("text"))
+    ratio = F.round(F.col("n_chars") / F.nullif(F.length("text"), F.lit(0)), 6)
+    return _t(spark, d, "documents").select("doc_id", F.concat(F.lit("["), F.array_join(words, ", "), F.lit("]")).alias("words"), ratio.cast("string").alias("ratio"))

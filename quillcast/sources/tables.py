@@ -17,9 +17,8 @@ SPEECH_FRAGMENTS = "book_id string, path_book string, book_name string, book_aut
 _OWN: list[str] = []
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder (spark.checkpoint.dir) and read back; cuts the lineage for good."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder (spark.checkpoint.dir)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
@@ -28,9 +27,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
             _OWN.append(tempfile.mkdtemp(prefix="quillcast-"))
             atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
         root = "file://" + _OWN[0]
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back; cuts the lineage for good."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -126,10 +130,11 @@ def to_jsonl(df: DataFrame) -> DataFrame:
 
 
 def report(title: str, counts: DataFrame, most: int = 200) -> str:
-    """A small table as Markdown text; only ``most`` rows come to the driver."""
-    rows = counts.limit(most).collect()
+    """A small table as Markdown text; only ``most`` rows come to the driver, and the text says so where there are more."""
+    rows = counts.limit(most + 1).collect()
     head = "| " + " | ".join(counts.columns) + " |\n|" + "-|" * len(counts.columns)
-    return f"# {title}\n\n{head}\n" + "\n".join("| " + " | ".join(str(v) for v in r) + " |" for r in rows) + "\n"
+    rest = f"\nThe first {most} rows; there are more.\n" if len(rows) > most else ""
+    return f"# {title}\n\n{head}\n" + "\n".join("| " + " | ".join(str(v) for v in r) + " |" for r in rows[:most]) + "\n" + rest
 
 
 def reindex(df: DataFrame, schema: dict[str, str]) -> DataFrame:

@@ -17,7 +17,7 @@ def rows(df):
             return "NULL"
         return str(v) if isinstance(v, (str, bool)) or not isinstance(v, (int, float)) else round(float(v), 6) + 0.0
 
-    return sorted(tuple(map(cell, r)) for r in df[sorted(df.columns)].itertuples(index=False, name=None))
+    return sorted((tuple(map(cell, r)) for r in df[sorted(df.columns)].itertuples(index=False, name=None)), key=str)
 
 
 @pytest.fixture(scope="module")

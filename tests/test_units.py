@@ -49,7 +49,7 @@ def test_infix_is_the_plain_distance(q, t):
 def test_cut_off_and_empty():
     assert align.infix_distance("", "a") is None and align.infix_distance("a", "") is None
     assert align.infix_distance("abcdef", "zzzzzz", 3) is None
-    assert align.pair_gate([], "x")[0] == "no_sample"
+    assert align.gate([], [])[0] == "no_sample" and align.gate([10, 10], [None, 3]) == ("ok", [None, 0.3]) and align.gate([10], [4])[0] == "mismatch"
 
 
 def test_matching_moves_on_and_falls_back():
@@ -216,7 +216,7 @@ def test_hybrid_classifier_is_plain_tf_idf_and_logistic_regression(spark, tmp_pa
         for k, c in enumerate(grams):
             for g, m in c.items():
                 if g in terms:
-                    x[k, terms[g]] = m * math.log((len(column) + 1) / (df[g] + 1))
+                    x[k, terms[g]] = m * (math.log((len(column) + 1) / (df[g] + 1)) + 1)
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
     x = np.hstack([unit_tf_idf(texts), unit_tf_idf(contexts), np.array([classifier.manner_flags(t) for t in texts], float)])
@@ -230,3 +230,23 @@ def test_hybrid_classifier_is_plain_tf_idf_and_logistic_regression(spark, tmp_pa
         step = np.linalg.solve(np.block([[s[:, None] * kernel + np.eye(50), s[:, None]], [s @ kernel, s.sum()]]), grad)
         a, b = a - step[:50], b - step[50]
     assert np.allclose([got[k] for k in range(50)], 1 / (1 + np.exp(-(kernel @ a + b))), atol=1e-3)
+
+
+def test_seeded_distances_are_those_of_a_whole_scan():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(300):
+        target = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(1, 300)))
+        a = rng.randint(0, len(target) - 1)
+        query = list(target[a : a + rng.randint(1, 120)])
+        for _ in range(rng.randint(0, 12)):
+            i = rng.randint(0, len(query))
+            query[i : i + rng.randint(0, 1)] = rng.choice(["", "x", "a"])
+        query = "".join(query) or "z"
+        scores = list(align._edits_at_ends(query, target))
+        best = min(scores)
+        assert align.infix_distance(query, target) == min(best, len(query))
+        assert align.infix_locate(query, target)[1:] == (scores.index(best), best)
+        for limit in (0, 3, 10):
+            assert align.infix_distance(query, target, limit) == (min(best, len(query)) if min(best, len(query)) <= limit else None)
