@@ -58,7 +58,12 @@ def discard(*tables: DataFrame) -> None:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
     if tables:
-        tables[0].sparkSession._jvm.java.lang.System.gc()
+        drop_shuffles(tables[0].sparkSession)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Ask the driver's collector to run: Spark's cleaner then drops the shuffle files of plans that have ended."""
+    spark._jvm.java.lang.System.gc()
 
 
 def release() -> None:

@@ -13,7 +13,8 @@ No task and no driver holds the tree or the words. Texts become bundles of word
 hash, are counted and numbered each in one task, and the bundles get their words' counts and numbers back. Each position sends its last four words to the task of
 its previous word, in packed blocks; all contexts that end in this word, the branch of the tree, live there, are counted, tested and used there,
 and only the texts' sums leave. The branch of a word more frequent than a task should hold is split by the word before it, so that longer contexts stay whole;
-the splits first add up the counts of the word's own entries, in packed slices.
+the splits first add up the counts of the word's own entries, in packed slices. Branches are dealt to ``WAVES`` waves, one after the other: each wave's
+sums are written before the next sends its positions, so that no more than a wave's share of them is on disk at once.
 
 Defined results: null and blank texts have the end only; very long texts are one bundle each; repeated rows are scored alike and all counted in
 training; null ids stay; with no training texts N and V are 0 and the score equals the base score; an empty table gives an empty result; other columns are ignored.
@@ -22,6 +23,7 @@ training; null ids stay; with no training texts N and V are 0 and the score equa
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Iterator
 from functools import partial
 
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import Lean, discard, materialize, release
+from quillcast.llm.common import Lean, discard, drop_shuffles, materialize, release
 
 DEPTH = 3
 LEAST = 2
@@ -40,6 +42,8 @@ END = b"\n"  # no word holds a line break
 BUNDLE_TOKENS, PART_WINDOWS = 800_000, 750_000
 #: Words of bundles that one task counts and numbers.
 SLICE_WORDS = 1_000_000
+#: Shares of the branches that send their positions in turn.
+WAVES = 2
 
 
 def word_hash(word: bytes) -> int:
@@ -74,6 +78,17 @@ def _unpacked(data: bytes, n: int, columns: int = 1) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(-1, 4, n).transpose(0, 2, 1)).view("<u4").reshape(-1, n)
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, small where these are near, as unsigned numbers."""
+    d = np.diff(x.astype(np.int64), prepend=0)
+    return (d << 1) ^ (d >> 63)
+
+
+def _summed(steps: np.ndarray) -> np.ndarray:
+    steps = steps.astype(np.int64)
+    return np.cumsum((steps >> 1) ^ -(steps & 1))
+
+
 def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as word places in a bundle's own sorted list of word hashes, with each word's training count."""
     from pyspark import TaskContext
@@ -180,10 +195,11 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple[int, int]], depth: int, pairs: bool) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple[int, int]], depth: int, pairs: bool, wave: int, waves: int) -> Iterator[pa.RecordBatch]:
     """Blocks of positions by the task of their previous word: the three words before, the next word, its count, its text.
 
     With ``pairs``, only what splits share: each frequent word's next words in this bundle, their training counts and counts in all.
+    Only branches of this ``wave`` are sent, all splits of a branch in the same one.
     """
     splits = np.ones(max(hot, default=0) + 2, np.int64)
     splits[list(hot)] = [k for k, _ in hot.values()]
@@ -197,7 +213,10 @@ def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple
         s = splits[np.minimum(w1, len(splits) - 1)]
         # where no longer context is, the position may go to any split
         j = (_spread(np.where(before[1][some] > 0, before[1][some], some + (1 << 33))) % s.astype(np.uint64)).astype(np.int64)
-        part = np.where(s > 1, -1 - (w1 << 20 | j), (_spread(w1) % np.uint64(parts)).astype(np.int64))
+        rare = (_spread(w1) % np.uint64(parts)).astype(np.int64)
+        (now,) = np.nonzero(np.where(s > 1, w1, rare) % waves == wave)
+        part = np.where(s > 1, -1 - (w1 << 20 | j), rare)[now]
+        some, w1, w, s = some[now], w1[now], w[now], s[now]
         if pairs:
             some, w, part = (x[s > 1] for x in (some, w, part))  # rare words stand together as 0, so every split sends something
             order = np.lexsort((w, part))
@@ -213,13 +232,29 @@ def _windows(batches: Iterator[pa.RecordBatch], parts: int, hot: dict[int, tuple
         w3 = before[2][some] * (w2 > 0) if depth > 2 else np.zeros(len(some), np.int64)
         t = text[some]
         columns = w1[order], w2, w3, w[order], c[some], t << 1 | learn[t]
-        yield _blocks(bundle, part, columns)
+        yield _blocks(bundle, part, columns, _positions)
+
 
+def _positions(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, w: np.ndarray, c: np.ndarray, t: np.ndarray) -> bytes:
+    """Positions sorted by previous and next word; each next word has its count once."""
+    words, place = np.unique(w << np.int64(32) | c, return_inverse=True)
+    known = _packed(_steps(words >> 32), _steps(words & 0xFFFFFFFF))
+    return struct.pack("<II", len(words), len(known)) + known + _packed(_steps(w1), w2, w3, _steps(place), t)
 
-def _blocks(bundle: int, part: np.ndarray, columns: tuple) -> pa.RecordBatch:
+
+def _opened_positions(data: bytes, n: int) -> np.ndarray:
+    """The columns that ``_positions`` was given."""
+    n_words, size = struct.unpack_from("<II", data)
+    words, c = (_summed(x) for x in _unpacked(data[8 : 8 + size], n_words, 2))
+    w1, w2, w3, place, t = _unpacked(data[8 + size :], n, 5)
+    place = _summed(place)
+    return np.stack([_summed(w1), w2, w3, words[place], c[place], t]).astype("<u4")
+
+
+def _blocks(bundle: int, part: np.ndarray, columns: tuple, pack=_packed) -> pa.RecordBatch:
     """Columns sorted by ``part`` as one packed block for each."""
     cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
-    data = [_packed(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    data = [pack(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:], strict=False)]
     return pa.RecordBatch.from_arrays(
         [pa.array(part[cuts[:-1]], pa.int64()), pa.array(np.full(len(data), bundle), pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(data, pa.binary())],
         ["part", "bundle", "n", "data"],
@@ -294,10 +329,10 @@ class Branch:
         return count, state[at], range(d + 1)
 
 
-def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The positions of all blocks of a task, and the bundle of each."""
+def _columns(table: pa.Table, unpack=_unpacked) -> tuple[np.ndarray, np.ndarray]:
+    """The columns of all blocks of a task, and the bundle of each position."""
     sizes = table.column("n").to_numpy()
-    blocks = [_unpacked(x.as_py(), int(k)) for x, k in zip(table.column("data"), sizes, strict=True)]
+    blocks = [unpack(x.as_py(), int(k)) for x, k in zip(table.column("data"), sizes, strict=True)]
     return np.concatenate(blocks, axis=1), np.repeat(table.column("bundle").to_numpy(), sizes)
 
 
@@ -335,7 +370,7 @@ def _branch_scores(key, table: pa.Table, shared: pa.Table, n: int, v: int, depth
     """Per bundle, the sums of gains of its texts over this task's positions."""
     bundles, docs, gains = [], [], []
     if table.num_rows:
-        columns, bundle = _columns(table)
+        columns, bundle = _columns(table, _opened_positions)
         entries = None
         if shared.num_rows:
             words, counts = np.concatenate([_unpacked(x.as_py(), k.as_py(), 2) for x, k in zip(shared.column("data"), shared.column("n"), strict=True)], axis=1).astype(np.int64)
@@ -369,7 +404,7 @@ def _joined(key, base: pa.Table, gains: pa.Table) -> pa.Table:
     return pa.table({"doc_id": row["docs"].values, "n_tokens": row["n_tokens"].values, "n_known": row["known"].values, "base_score": pa.array(start), "score": pa.array(score)})
 
 
-def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, part_windows: int = PART_WINDOWS) -> DataFrame:
+def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, part_windows: int = PART_WINDOWS, waves: int = WAVES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row, learning from those that ``may_learn`` lets through."""
     spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(may_learn, F.lit(False)).alias("learn"), F.col(text).cast("binary").alias("text"))
@@ -391,16 +426,22 @@ def score(docs: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str
     positions = known.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     parts = max(1, math.ceil(positions / part_windows))
     base = known.mapInArrow(Lean(_base, n=n, v=v), "bundle long, docs array<long>, n_tokens array<long>, known array<long>, base array<double>")
-    cut = partial(Lean, _windows, parts=parts, hot=hot, depth=depth)
     block = "part long, bundle long, n long, data binary"
     entries = "part long, n long, data binary"
-    shared = spark.createDataFrame([], f"{entries}, kept long, entries long, gain double")
-    if hot:
-        split = known.mapInArrow(cut(pairs=True), block).groupBy("part").applyInArrow(partial(_split_entries, hot=hot), f"slice long, {entries}")
-        shared = split.groupBy("slice").applyInArrow(_shared_entries, f"{entries}, kept long, entries long, gain double")
-    shared = shared.withColumnRenamed("part", "s_part")
-    windows = known.mapInArrow(cut(pairs=False), block) if n else spark.createDataFrame([], block)
-    found = windows.groupBy("part").cogroup(shared.groupBy("s_part")).applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth, hot=hot), "bundle long, texts binary, gains binary")
+    found = None
+    for wave in range(waves):
+        cut = partial(Lean, _windows, parts=parts, hot=hot, depth=depth, wave=wave, waves=waves)
+        shared = spark.createDataFrame([], f"{entries}, kept long, entries long, gain double")
+        if hot:
+            split = known.mapInArrow(cut(pairs=True), block).groupBy("part").applyInArrow(partial(_split_entries, hot=hot), f"slice long, {entries}")
+            shared = split.groupBy("slice").applyInArrow(_shared_entries, f"{entries}, kept long, entries long, gain double")
+        windows = known.mapInArrow(cut(pairs=False), block) if n else spark.createDataFrame([], block)
+        sums = windows.groupBy("part").cogroup(shared.withColumnRenamed("part", "s_part").groupBy("s_part"))
+        sums = sums.applyInArrow(partial(_branch_scores, n=n, v=v, depth=depth, hot=hot), "bundle long, texts binary, gains binary")
+        if wave < waves - 1:
+            sums = materialize(sums, "sums")
+            drop_shuffles(spark)
+        found = sums if found is None else found.unionAll(sums)
     found = found.withColumnRenamed("bundle", "g_bundle")
     rows = base.groupBy("bundle").cogroup(found.groupBy("g_bundle")).applyInArrow(_joined, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return rows.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
