@@ -156,8 +156,61 @@ def test_audio_measures(spark):
     df = spark.createDataFrame([(1, wav(y)), (2, b"broken")], "k int, content binary")
     got = {r.k: r.feat_status for r in audio.features(df, "k").collect()}
     assert got[1] == "ok" and got[2].startswith("error:")
-    s = spark.createDataFrame([(0, 1, 1, 1.0), (9, 0, 24000, 1.0), (9, 24000, 24000, 1.15), (9, 24000, 24000, 1.151)], "size int, n int, sr int, d double")
-    assert [r.x.split("(")[0] for r in s.select(audio.header_status(F.col("size"), F.col("n"), F.col("sr"), F.col("d")).alias("x")).collect()] == ["missing_or_empty", "zero_frames", "ok", "dur_mismatch"]
+    s = spark.createDataFrame([(None, 1, 1, 1.0), (0, 1, 1, 1.0), (9, None, 1, 1.0), (9, 0, 24000, 1.0), (9, 24000, 24000, 1.15), (9, 24000, 24000, 1.151)], "size int, n int, sr int, d double")
+    assert [r.x for r in s.select(audio.header_status(F.col("size"), F.col("n"), F.col("sr"), F.col("d")).alias("x")).collect()] == ["missing", "empty", "header_unreadable", "zero_frames", "ok", "dur_mismatch(got=1.00,exp=1.15)"]
+
+
+def test_spectra_of_known_waves():
+    sr = 24000
+    t = np.arange(2 * sr) / sr
+    tone, noise = 0.5 * np.sin(2 * np.pi * 1500 * t), np.random.default_rng(4).normal(0, 0.1, 2 * sr)
+    m, n = audio.measure(tone, sr), audio.measure(noise, sr)
+    assert abs(m["spec_centroid_mean"] - 1500) < 60 and abs(m["spec_rolloff_mean"] - 1500) < 60 and m["spec_flatness_mean"] < 0.01 and m["hf_energy_ratio"] < 0.01
+    assert abs(m["zcr_mean"] - 2 * 1500 / sr) < 0.002 and m["harmonic_ratio"] > 0.95
+    assert abs(n["spec_centroid_mean"] - sr / 4) < 300 and abs(n["spec_rolloff_mean"] - 0.85 * sr / 2) < 300 and n["spec_flatness_mean"] > 0.4
+    assert abs(n["hf_energy_ratio"] - 2 / 3) < 0.03 and n["harmonic_ratio"] < 0.7
+    # separated parts add up to the whole, and clicks are struck, not steady
+    spectra = audio._magnitudes(tone, audio.WIDE, audio.WIDE_HOP)
+    assert np.allclose(audio._back(spectra, audio.WIDE, audio.WIDE_HOP, len(tone))[1024:-2048], tone[1024:-2048], atol=1e-9)
+    clicks = np.zeros(2 * sr)
+    for k in range(7):
+        clicks[3000 + 6000 * k :][:240] = np.random.default_rng(k).normal(0, 0.5, 240)
+    assert audio.harmonic_share(clicks) < 0.3 and len(audio.onsets(clicks, sr)) == 7
+    assert not len(audio.onsets(np.zeros(sr), sr)) and set(audio.measure(np.zeros(sr), sr)) == set(audio.FEATURES)
+
+
+def test_files_are_verified_by_header_and_by_decoding(spark):
+    good = wav(np.zeros(24000), 24000)
+    flac = b"fLaC" + bytes([0, 0, 0, 34]) + bytes(10) + ((24000 << 44) | (1 << 41) | (15 << 36) | 48000).to_bytes(8, "big") + bytes(16)
+    assert audio.read_header(flac) == (48000, 24000)
+    files = spark.createDataFrame([("a", good), ("b", b""), ("c", b"junk"), ("d", flac)], "k string, content binary")
+    rows = spark.createDataFrame([("a", 1.1), ("b", 1.0), ("c", 1.0), ("d", 1.0), ("e", 1.0)], "k string, d double")
+    got = {r.k: r.verify_status for r in audio.verify(rows, files, "k", "d").collect()}
+    assert got == {"a": "ok", "b": "empty", "c": "header_unreadable:EOFError", "d": "dur_mismatch(got=2.00,exp=1.00)", "e": "missing"}
+
+    def tester(content):
+        return None if content[:4] == b"RIFF" else "flac_test_fail:x"
+
+    deep = {r.k: r.verify_status for r in audio.deep_check(files.union(spark.createDataFrame([("e", None)], files.schema)), "k", tester=tester).collect()}
+    assert deep == {"a": "ok", "b": "flac_test_fail:x", "c": "flac_test_fail:x", "d": "flac_test_fail:x", "e": "missing"}
+
+    class Two:
+        names = ["lo", "hi"]
+
+        def __call__(self, y, sr):
+            return [float(y.min()), float(y.max())]
+
+    more = audio.features(files.filter("k = 'a'"), "k", more=Two()).first()
+    assert more.feat_status == "ok" and more.egm_lo == 0.0 and more.egm_hi == 0.0
+
+
+def test_every_book_has_a_baseline_status(spark):
+    books = spark.createDataFrame([("r", b, b != "gone") for b in ("fine", "gone", "short", "mute", "broken")], "reader string, book string, present boolean")
+    seg = [("r", "fine", k, 0.0, 2.0, 3, float(k), "ok") for k in range(5)] + [("r", "short", 9, 0.0, 0.5, 3, 1.0, "ok"), ("r", "mute", 10, 0.0, 2.0, 3, None, "ok")]
+    seg += [("r", "broken", 11, 0.0, 2.0, 3, 1.0, "ok"), ("r", "broken", 12, 0.0, 2.0, 3, None, "error:OSError")]
+    df = spark.createDataFrame(seg, "reader string, book string, id int, start double, end double, n_words int, f double, feat_status string")
+    out = {r.book: (r.base_status, r.n_segments, r.f_med) for r in audio.narration_baseline(df, ["reader", "book"], ["f"], "id", books=books).collect()}
+    assert out == {"fine": ("ok", 5, 2.0), "gone": ("missing_json_or_mp3", 0, None), "short": ("no_segments", 0, None), "mute": ("no_features", 0, None), "broken": ("error:OSError", 0, None)}
 
 
 def test_services_fail_softly(spark):
