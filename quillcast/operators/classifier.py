@@ -16,6 +16,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillcast.operators.paragraphs import context_text, neighbour_flags
+from quillcast.operators.sampling import overlap
+
 # Verbs of speech with a manner, nouns of sound, and prepositions that open a manner phrase.
 MANNER_VERBS = (
     "шептать", "прошептать", "зашептать", "крикнуть", "кричать", "закричать", "выкрикнуть", "заорать", "орать", "гаркнуть", "рявкнуть",
@@ -30,6 +33,10 @@ MANNER_PREPOSITIONS = ("с", "со", "без")
 SPEECH_SPAN = re.compile(r'«[^»]+»|"[^"\n]{2,}"|(?:^|\n)\s*[—–-]\s+[^—–\n]*')
 
 
+#: A paragraph's flags and its neighbours'.
+FLAGS = ("v1", "v2", "prev_v1", "prev_v2", "next_v1", "next_v2")
+
+
 class Tagger(Protocol):
     """(part of speech, lemma, cases) of a word."""
 
@@ -82,6 +89,21 @@ def with_flags(df: DataFrame, text: str, tagger: Tagger = suffix_tagger, window:
     return df.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in df.dtypes) + ", v1 double, v2 double")
 
 
+def pos_filter(df: DataFrame, text: str, tagger: Tagger = suffix_tagger, extended: bool = True, window: int | None = None) -> DataFrame:
+    """Rows whose text looks like a description of a manner of speech by its parts of speech alone."""
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf[[manner_flags(tag_window(t or "", window), tagger)[extended] for t in pdf[text]]]
+
+    return df.mapInPandas(run, df.schema)
+
+
+def with_neighbours(df: DataFrame, book: str, index: str, text: str = "text", tagger: Tagger = suffix_tagger) -> DataFrame:
+    """Add ``context`` (the paragraphs before and after) and the six ``FLAGS``: a paragraph's own and its neighbours', 0 at a book's ends."""
+    return neighbour_flags(with_flags(context_text(df, book, index, text), text, tagger), book, index, ["v1", "v2"])
+
+
 def char_ngrams(text: Column, least: int = 3, most: int = 5) -> Column:
     """Character n-grams inside words padded by a space on both sides; a word shorter than n gives itself once."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+"), lambda w: w != "")
@@ -161,6 +183,20 @@ def cross_validate(df: DataFrame, folds: DataFrame, key: str, thresholds: list[f
     return threshold_sweep(scored, thresholds, fold="fold")
 
 
+def cross_validate_and_refit(df: DataFrame, folds: DataFrame, key: str, thresholds: list[float], **options) -> tuple[DataFrame, PipelineModel]:
+    """The pooled out-of-fold sweep, and the model of all books."""
+    return cross_validate(df, folds, key, thresholds, **options), fit(df, **options)
+
+
+def hold_out(train: DataFrame, test: DataFrame, key: str, thresholds: list[float], **options) -> tuple[DataFrame, PipelineModel]:
+    """The sweep over ``test`` by a model of ``train``, and the model; a book in both is a leak and an error."""
+    both = [str(r[0]) for r in overlap(train, test, key).limit(5).collect()]
+    if both:
+        raise ValueError(f"in train and test: {', '.join(both)}")
+    model = fit(train, **options)
+    return threshold_sweep(score(model, test), thresholds), model
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -74,13 +74,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = SPEECH_FRAGMENTS, l
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """One row a segment: path_audio (the file's folder), seg, start, end, words."""
+    """One row a segment: path_audio, seg (its place in the file), start, end, words.
+
+    A transcript is ``<path_audio>/raw/<title>.json``, where title is the last part of path_audio; other files are left out. A file is one
+    array, read by one task in its own order.
+    """
     from pyspark.sql import Window
 
     raw = spark.read.schema(ASR_SEGMENTS).option("multiLine", True).json(path)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
-    rows = raw.withColumn("path_audio", folder)
-    return rows.withColumn("seg", F.row_number().over(Window.partitionBy("path_audio").orderBy("start", "end")) - 1)
+    # the reader encodes its paths; plus signs stand for themselves
+    whole = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    rows = raw.withColumns({"_file": F.regexp_replace(whole, "^file:/+", "/"), "_at": F.monotonically_increasing_id()})
+    shape = r"^(.*/([^/]+))/raw/\2\.json$"
+    rows = rows.withColumn("path_audio", F.regexp_extract("_file", shape, 1)).filter("path_audio <> ''")
+    seg = F.row_number().over(Window.partitionBy("path_audio").orderBy("_at")) - 1
+    return rows.select("path_audio", seg.alias("seg"), "start", "end", "words")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

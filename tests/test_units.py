@@ -285,6 +285,54 @@ def test_hybrid_classifier_is_plain_tf_idf_and_logistic_regression(spark, tmp_pa
     assert np.allclose([got[k] for k in range(50)], 1 / (1 + np.exp(-(kernel @ a + b))), atol=1e-3)
 
 
+def test_matching_carries_columns_and_names_bad_pairs(spark):
+    rng = random.Random(5)
+    told = [" ".join("".join(rng.choice("абвгдежз") for _ in range(6)) for _ in range(30)) for _ in range(4)]
+    frags = [("b", "r", a, k, 0, t, t[7:40], f"how {k}", "Name", "Author") for a in ("good", "other", "mute", "none") for k, t in enumerate(told)]
+    frags = spark.createDataFrame(frags, "path_book string, reader string, path_audio string, chunk_id long, pos long, chunk_text string, speech string, description string, book_name string, book_author string")
+    heard = [("good", i, w) for i, w in enumerate(" ".join(told).split())] + [("other", i, "юю") for i in range(50)] + [("mute", None, None)]
+    words = spark.createDataFrame([(a, i, w, None if i is None else float(i), None if i is None else i + 0.5, 0.9) for a, i, w in heard], "path_audio string, word_idx long, word string, start double, end double, score double")
+    tagged = align.match_all(frags, words).cache()
+    got = {(r.path_audio, r.chunk_id): (r.match_status, r.description, r.match_distance) for r in align.matched(tagged).collect()}
+    assert got == {("good", k): ("ok", f"how {k}", 0) for k in range(4)} | {("none", k): ("no_audio_json", f"how {k}", None) for k in range(4)}
+    bad = {r.path_audio: (r.match_status, r.book_name, r.book_author, r.n_fragments_skipped) for r in align.bad_pairs(tagged).collect()}
+    assert bad == {a: ("mismatch", "Name", "Author", 4) for a in ("other", "mute")}
+    assert tuple(align.match_summary(tagged).first()) == (8, 4, 0, 2, 8)
+
+
+def test_pair_check_names_each_fault(spark):
+    text = "абвгд еёжзи клмно"
+    rows = [("a", text, text, None, None), ("b", None, None, "torn", None), ("c", None, text, "torn", None), ("d", None, text, None, "bad"), ("e", text, None, None, "bad"), ("f", text, "", None, None), ("g", text, "я" * 40, None, None)]
+    out = align.check_pairs(spark.createDataFrame(rows, "k string, sample_text string, audio_text string, be string, ae string"), book_error="be", audio_error="ae").cache()
+    assert {r.k: r.status for r in out.collect()} == {"a": "ok", "b": "no_audio_json", "c": "epub_parse_error: torn", "d": "no_sample_paragraph", "e": "audio_json_error: bad", "f": "empty_audio", "g": "mismatch"}
+    assert {r.status: round(r.rate * 7) for r in align.check_summary(out).collect()}["epub_parse_error"] == 1
+
+
+def test_transcripts_by_their_folders(spark, tmp_path):
+    for title, name in (("a b+c", "a b+c"), ("d", "d"), ("d", "stray")):
+        folder = tmp_path / title / "raw"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{name}.json").write_text('[{"start": 5, "end": 6, "words": []}, {"start": 1, "end": 2, "words": [{"word": "x", "start": 1, "end": 2}]}]')
+    rows = tables.read_transcripts(spark, f"{tmp_path}/*/raw/*.json").collect()
+    assert sorted((r.path_audio, r.seg, r.start) for r in rows) == [(f"{tmp_path}/{t}", k, s) for t in ("a b+c", "d") for k, s in ((0, 5.0), (1, 1.0))]
+
+
+def test_six_flags_hold_out_and_filter(spark):
+    rows = [(b, i, "сказал шёпотом тихо" if (b + i) % 2 else "дом стоит у реки", float((b + i) % 2)) for b in range(8) for i in range(4)]
+    df = spark.createDataFrame(rows, "book int, i int, text string, label double")
+    full = classifier.with_neighbours(df, "book", "i").cache()
+    one = full.filter("book = 0").orderBy("i").collect()
+    assert [tuple(r[f] for f in classifier.FLAGS[::2]) for r in one] == [(0, 0, 1), (1, 0, 0), (0, 1, 1), (1, 0, 0)] and one[0].context == " сказал шёпотом тихо"
+    assert classifier.pos_filter(df, "text").count() == 16 and classifier.pos_filter(df, "text").columns == df.columns
+    sweep, _ = classifier.hold_out(full.filter("book < 6"), full.filter("book >= 6"), "book", [0.5], flags=classifier.FLAGS, max_iter=20)
+    assert tuple(sweep.select("kept", "total", "recall").first()) == (4, 8, 1.0)
+    try:
+        classifier.hold_out(full, full.filter("book = 1"), "book", [0.5])
+        raise AssertionError
+    except ValueError as e:
+        assert "1" in str(e)
+
+
 def test_seeded_distances_are_those_of_a_whole_scan():
     import random
 
