@@ -31,11 +31,13 @@ from quillcast.llm.common import Lean, materialize, ranked
 
 #: AXES * CELL_BITS bits make a key; cells are fine enough that near copies of one vector spread over many.
 CURVES, AXES, CELL_BITS = 16, 4, 15
-BLOCK = 256
+#: A block holds as many rows as the windows reach to one side, within these bounds, so a window meets three blocks whatever its reach; past the upper bound, which keeps a task's memory bounded, it meets more.
+BLOCK, BLOCK_MOST = 256, 65_536
 FIT_ROWS = 20_000
 #: Queries whose true neighbours set the reach, and the share of these that must be inside it.
 TRIAL, TARGET = 128, 0.97
-QUERIES_AT_ONCE, SALTS = 512, 64
+#: Products held at once, and the first step's share of the merge of equal vectors.
+PRODUCTS_AT_ONCE, SALTS = 1 << 20, 64
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -96,8 +98,9 @@ def _keys(batches: Iterator[pa.RecordBatch], basis: np.ndarray, scale: np.ndarra
 def _nearest(q: np.ndarray, x: np.ndarray, least: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """(query row, entry row) of the ``keep`` best entries of ``x`` for each row of ``q``, some queries at a time."""
     out_q, out_x = [], []
-    for a in range(0, len(q), QUERIES_AT_ONCE):
-        for i, row in enumerate(q[a : a + QUERIES_AT_ONCE] @ x.T):
+    at_once = max(1, PRODUCTS_AT_ONCE // max(1, len(x)))
+    for a in range(0, len(q), at_once):
+        for i, row in enumerate(q[a : a + at_once] @ x.T):
             if len(row) > keep:
                 # all that tie with the last one stay in until ids decide
                 edge = np.partition(row, len(row) - keep)[len(row) - keep]
@@ -190,12 +193,13 @@ def search(vectors: DataFrame, query_filter, k: int = 20, vec_id: str = "vec_id"
     asked = materialize(asked, "queries")
     wanted = asked.select(F.col("q").alias("cid")).distinct()
     half = reach(index, placed, wanted, n, k, dims) if half is None else half
-    # a block meets the queries of its window only: at most 2 * half + BLOCK of them, as each place holds one entry
-    blocks = placed.select("curve", F.expr(f"at div {BLOCK}").alias("block"), "cid", "vec", "least")
+    size = min(max(half, BLOCK), BLOCK_MOST)
+    # a block meets the queries of its window only: at most 2 * half + size of them, as each place holds one entry
+    blocks = placed.select("curve", F.expr(f"at div {size}").alias("block"), "cid", "vec", "least")
     own_places = placed.select(*[F.col(c).alias(f"q_{c}") for c in placed.columns]).toDF(*placed.columns)
     looks = own_places.join(wanted, "cid", "left_semi").select(
         "curve",
-        F.explode(F.sequence(F.expr(f"greatest(at - {half}, 0) div {BLOCK}"), F.expr(f"least(at + {half}, {n - 1}) div {BLOCK}"))).alias("block"),
+        F.explode(F.sequence(F.expr(f"greatest(at - {half}, 0) div {size}"), F.expr(f"least(at + {half}, {n - 1}) div {size}"))).alias("block"),
         "cid",
         "vec",
     )
