@@ -8,8 +8,9 @@ sampled by comparing a hash of their id with it. So the expected sample meets it
 A target above all that a value has is capped there, and the rest of its dimension shares the difference; ``capped`` names such values. Where the
 three marginals cannot be met together, raking stops after ``ROUNDS`` rounds and warns with the largest gap. ``marginals`` reports target and expectation.
 
-Topics, where no column has them, are learned: k-means over hashed token vectors less their language's mean, fitted on a bounded
-sample (``FIT_DOCS``) and assigned to every document.
+Topics, where no column has them, are learned: k-means over hashed token vectors less their language's mean. The languages' means, the start and
+every round take every row (equal texts of a language count once), and rounds go on until the centres stay where they are. Vectors are
+whole numbers (``UNIT`` is 1), so sums are exact and no dealing of the rows changes them.
 
 Cells come to the driver up to ``MAX_CELLS`` rows; beyond that the same steps with the same stopping rule run on a DataFrame of cells.
 
@@ -22,12 +23,13 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from quillcast.llm.common import Lean, discard, fresh, materialize
 from quillcast.llm.packing import Encoder
@@ -38,7 +40,13 @@ ROUNDS, TOLERANCE = 500, 1e-7
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.85}
 DIMS = ("source", "lang", "topic")
 BUDGET = 0.5
-TOPICS, BUCKETS, FIT_DOCS = 8, 256, 4000
+TOPICS, BUCKETS, UNIT, TOPIC_ROUNDS = 8, 256, 32767, 1000
+#: The first centres come from cells of all rows: their sides of so many principal axes.
+AXES = 6
+#: Centred vectors to a row of their table, which every round reads.
+PACKED = 4
+#: Bytes of partial sums that the driver takes at once, and languages that a task sums up at once.
+MAX_PARTIAL, MAX_LANGS = 1 << 25, 1024
 _FULL = 1 - 1e-12
 
 
@@ -112,80 +120,176 @@ def rake_frame(cells: DataFrame, dims: list[str], targets: list[DataFrame], roun
 
 
 def _vector(ids: np.ndarray) -> np.ndarray:
-    """The hashed token vector of a text, of length one (or zero)."""
+    """The hashed token vector of a text, of length ``UNIT``."""
     v = np.log1p(np.bincount((ids * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS))
-    return v / (np.linalg.norm(v) or 1.0)
+    return np.rint(v * (UNIT / (np.linalg.norm(v) or 1.0))).astype("<i2")
 
 
 def _ids(encoder: Encoder, text: str | None) -> np.ndarray:
     return np.frombuffer(encoder.encode(text or ""), "<u4").astype(np.uint64)
 
 
-def _sampled_vectors(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The vectors of all rows; a row holds one or more."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], "<i2", (ends[-1] - ends[0]) // 2, ends[0]).reshape(-1, BUCKETS).astype(float)
+
+
+def _rows(parts: np.ndarray | list) -> pa.Array:
+    return pa.array([r.tobytes() for r in parts], pa.binary())
+
+
+def _language_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: dict = {}
+
+    def flush() -> pa.RecordBatch:
+        parts = [pa.array(list(found), pa.string()), pa.array([n for n, _ in found.values()], pa.int64()), _rows([t for _, t in found.values()])]
+        found.clear()
+        return pa.RecordBatch.from_arrays(parts, ["lang", "n", "total"])
+
     for batch in batches:
-        ids = [_ids(encoder, t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array([_vector(x).tobytes() for x in ids], pa.binary())], ["lang", "v"])
-
-
-class Topics:
-    """Means by language and k-means centres of what is left."""
-
-    def __init__(self, langs: list, vectors: np.ndarray, topics: int = TOPICS, rounds: int = 30, seed: int = 5):
-        self.common = vectors.mean(axis=0) if len(vectors) else np.zeros(BUCKETS)
-        self.means = {}
-        for lang in sorted(set(langs), key=str):
-            self.means[lang] = vectors[[i for i, x in enumerate(langs) if x == lang]].mean(axis=0)
-        x = np.stack([v - self.means[lang] for lang, v in zip(langs, vectors, strict=True)]) if langs else np.zeros((1, BUCKETS))
-        order = np.lexsort(x.T[:8])
-        centres = x[np.random.default_rng(seed).permutation(order)[:topics]]
-        for _ in range(rounds):
-            at = self._nearest(x, centres)
-            moved = np.stack([x[at == k].mean(axis=0) if (at == k).any() else c for k, c in enumerate(centres)])
-            if np.allclose(moved, centres):
-                break
-            centres = moved
-        self.centres = centres
+        langs, at = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+        order, n = np.argsort(at, kind="stable"), np.bincount(at)
+        sums = np.add.reduceat(_matrix(batch.column(1))[order], np.cumsum(n) - n)
+        for lang, k, total in zip(langs, n.tolist(), sums, strict=True):
+            old = found.get(lang, (0, 0.0))
+            found[lang] = (old[0] + k, old[1] + total)
+        if len(found) > MAX_LANGS:
+            yield flush()
+    if found:
+        yield flush()
+
+
+def _language_mean(parts: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(t) for t in parts.column("total").to_pylist())
+    mean = np.rint(total / sum(parts.column("n").to_pylist())).astype("<i2")
+    return pa.table({"lang": parts.column("lang").slice(0, 1).cast(pa.string()), "mean": _rows(mean[None])})
+
+
+def _centred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x = (_matrix(batch.column(0)) - _matrix(batch.column(1))).astype("<i2")
+        yield pa.RecordBatch.from_arrays([_rows([x[i : i + PACKED] for i in range(0, len(x), PACKED)])], ["x"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, as ``Lean`` has them, but without its collection at the end: a round's tasks are short and leave little behind."""
+    return (b.slice(i, Lean.ROWS) for b in batches for i in range(0, b.num_rows, Lean.ROWS))
+
+
+def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((BUCKETS, BUCKETS))
+    for batch in _slices(batches):
+        x = _matrix(batch.column(0))
+        total += x.T @ x
+    yield pa.RecordBatch.from_arrays([_rows(total.reshape(1, -1))], ["total"])
 
-    @staticmethod
-    def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-        return ((centres**2).sum(axis=1) - 2 * x @ centres.T).argmin(axis=1)
 
-    def of(self, lang: str | None, ids: np.ndarray) -> str:
-        if not len(ids):
-            return "none"
-        return f"t{self._nearest((_vector(ids) - self.means.get(lang, self.common))[None], self.centres)[0]}"
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((centres**2).sum(axis=1) - 2 * x @ centres.T).argmin(axis=1)
 
 
-def fit_topics(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", fit_docs: int = FIT_DOCS) -> Topics:
-    """Topics from about ``fit_docs`` rows, drawn by a hash of the text; equal texts count once."""
-    share = min(1.0, fit_docs / max(docs.count(), 1))
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).filter(F.length("text") > 0)
-    some = rows.filter(F.pmod(F.xxhash64("text", F.lit("topics")), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates(["text"])
-    found = sorted((r["lang"], bytes(r["v"])) for r in some.mapInArrow(Lean(_sampled_vectors, path=path), "lang string, v binary").na.fill("", ["lang"]).collect())
-    return Topics([r[0] for r in found], np.array([np.frombuffer(r[1]) for r in found]).reshape(-1, BUCKETS))
+def _sides(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    return (x @ axes.T > 0) @ (1 << np.arange(len(axes)))
+
+
+def _sums(batches: Iterator[pa.RecordBatch], code, by: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """By ``code``, the number of vectors and their sum, as one row."""
+    total = np.zeros((size, 1 + BUCKETS))
+    for batch in _slices(batches):
+        x = _matrix(batch.column(0))
+        at = code(x, by)
+        total[:, 0] += np.bincount(at, minlength=size)
+        total[:, 1:] += np.eye(size)[at].T @ x
+    yield pa.RecordBatch.from_arrays([_rows(total.reshape(1, -1))], ["total"])
+
+
+def _added(x: DataFrame, shape: tuple[int, int], run, **given) -> np.ndarray:
+    """The sum of the tasks' matrices; as many tasks as the driver can take the matrices of."""
+    parts = x.coalesce(max(1, MAX_PARTIAL // (8 * shape[0] * shape[1]))).mapInArrow(partial(run, **given), "total binary").collect()
+    return sum((np.frombuffer(r["total"]).reshape(shape) for r in parts), np.zeros(shape))
+
+
+def _first_centres(n: np.ndarray, total: np.ndarray, topics: int) -> np.ndarray:
+    """Centres of the cells' weighted means: the farthest ones first, then k-means over the cells."""
+    n, means = n[n > 0], total[n > 0] / n[n > 0, None]
+    centres = means[[(n * (means**2).sum(axis=1)).argmax()]] if len(n) else np.zeros((1, BUCKETS))
+    while len(centres) < topics and len(n):
+        far = n * np.min([((means - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        if not far.max() > 0:
+            break
+        centres = np.vstack([centres, means[far.argmax()]])
+    for _ in range(TOPIC_ROUNDS):
+        at = _nearest(means, centres)
+        moved = np.stack([np.average(means[at == k], axis=0, weights=n[at == k]) if (at == k).any() else c for k, c in enumerate(centres)])
+        if np.allclose(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
+def _offsets(batches: Iterator[pa.RecordBatch], centres: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), _rows((centres**2).sum(axis=1) + 2 * _matrix(batch.column(1)) @ centres.T)], ["lang", "offsets"])
+
+
+def fit_topics(rows: DataFrame, topics: int = TOPICS) -> tuple[np.ndarray, DataFrame]:
+    """Centres of all of ``rows`` (lang, vector, digest of the text), and by language what its mean adds to the distances from them.
+
+    A vector v of language l is nearest to the centre c with the smallest |c|^2 + 2 mean(l) c - 2 v c; the first two terms are the offsets.
+    """
+    points = materialize(rows.filter(F.col("vector").isNotNull()).distinct().select("lang", "vector"), "points")
+    sums = points.coalesce(MAX_PARTIAL // (8 * BUCKETS)).mapInArrow(Lean(_language_sums), "lang string, n bigint, total binary")
+    means = materialize(sums.groupBy("lang").applyInArrow(_language_mean, "lang string, mean binary"), "means")
+    x = materialize(points.join(means, "lang").select("vector", "mean").mapInArrow(Lean(_centred), "x binary"), "centred")
+    axes = np.linalg.eigh(_added(x, (BUCKETS, BUCKETS), _products))[1].T[::-1][:AXES]
+    cells = _added(x, (1 << AXES, 1 + BUCKETS), _sums, code=_sides, by=axes, size=1 << AXES)
+    centres = _first_centres(cells[:, 0], cells[:, 1:], topics)
+    for _ in range(TOPIC_ROUNDS):
+        found = _added(x, (len(centres), 1 + BUCKETS), _sums, code=_nearest, by=centres, size=len(centres))
+        n, old = found[:, :1], centres
+        centres = np.where(n > 0, found[:, 1:] / np.maximum(n, 1), centres)
+        if np.allclose(centres, old):
+            break
+    else:
+        warnings.warn(f"topics still moved after {TOPIC_ROUNDS} rounds", stacklevel=2)
+    offsets = materialize(means.mapInArrow(Lean(_offsets, centres=centres), "lang string, offsets binary"), "offsets")
+    discard(points, means, x)
+    return centres, offsets
 
 
-def _described(batches: Iterator[pa.RecordBatch], path: str, text: int, lang: int, topics: Topics | None, drop: bool) -> Iterator[pa.RecordBatch]:
+def _described(batches: Iterator[pa.RecordBatch], path: str, text: int, learn: bool, drop: bool) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(path)
     for batch in batches:
-        counts, names = [], []
-        for t, one in zip(batch.column(text).to_pylist(), batch.column(lang).to_pylist(), strict=True):
-            ids = _ids(encoder, t)
-            counts.append(len(ids) + 1)
-            names.append(topics.of(str(one) if one is not None else "", ids) if topics else None)
+        ids = [_ids(encoder, t) for t in batch.column(text).to_pylist()]
+        vectors = pa.array([_vector(x).tobytes() if learn and len(x) else None for x in ids], pa.binary())
         keep = [i for i in range(batch.num_columns) if not (drop and i == text)]
-        columns = [batch.column(i) for i in keep] + [pa.array(names, pa.string()), pa.array(counts, pa.int64())]
+        columns = [batch.column(i) for i in keep] + [vectors, pa.array([len(x) + 1 for x in ids], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))])
 
 
 def described(docs: DataFrame, path: str, topic: str, tokens: str, text: str = "text", lang: str = "lang", learn: bool = True, drop_text: bool = False) -> DataFrame:
-    """``docs`` with columns ``topic`` (null unless learned) and ``tokens``, written to the shared folder."""
-    topics = fit_topics(docs, path, text, lang) if learn else None
-    fields = [f for f in docs.schema.fields if not (drop_text and f.name == text)]
-    schema = StructType([*fields, StructField(topic, StringType()), StructField(tokens, LongType())])
-    run = Lean(_described, path=path, text=docs.columns.index(text), lang=docs.columns.index(lang), topics=topics, drop=drop_text)
-    return materialize(docs.mapInArrow(run, schema), "described")
+    """``docs`` with columns ``topic`` (null unless learned) and ``tokens``, written to the shared folder but for the topics, which follow from vectors written there."""
+    digest, vector, key, offset = fresh(docs.select("*", F.lit(0).alias(topic), F.lit(0).alias(tokens)), "digest", "vector", "key", "offset")
+    hashed = docs.withColumn(digest, F.xxhash64(F.col(text).cast("string")))
+    kept = [f for f in hashed.schema.fields if not (drop_text and f.name == text)]
+    schema = StructType([*kept, StructField(vector, BinaryType()), StructField(tokens, LongType())])
+    rows = materialize(hashed.mapInArrow(Lean(_described, path=path, text=docs.columns.index(text), learn=learn, drop=drop_text), schema), "described")
+    names = [f.name for f in kept if f.name != digest]
+    if not learn:
+        return rows.select(*names, F.lit(None).cast("string").alias(topic), tokens)
+    name = F.coalesce(F.col(lang).cast("string"), F.lit(""))
+    centres, offsets = fit_topics(rows.select(name.alias("lang"), F.col(vector).alias("vector"), F.col(digest).alias("digest")))
+
+    def nearest(v: pa.Array, o: pa.Array) -> pa.Array:
+        o = o.fill_null(bytes(8 * len(centres))).cast(pa.binary(8 * len(centres)))
+        base = np.frombuffer(b"".join(o.to_pylist())).reshape(-1, len(centres))
+        return pa.array([f"t{k}" for k in (base - 2 * _matrix(v.fill_null(bytes(2 * BUCKETS))) @ centres.T).argmin(axis=1)], pa.string())
+
+    found = F.arrow_udf(nearest, "string")(F.col(vector), F.col(offset))
+    rows = rows.join(offsets.toDF(key, offset), name == F.col(key), "left")
+    return rows.select(*names, F.when(F.col(vector).isNull(), "none").otherwise(found).alias(topic), tokens)
 
 
 def probabilities(rows: DataFrame, columns: dict[str, str], tokens: str, into: str, targets: dict | None = None, budget: float = BUDGET) -> tuple[DataFrame, dict]:

@@ -201,6 +201,40 @@ def test_mixing_meets_its_marginals_on_both_paths(spark, docs, monkeypatch):
     assert max(abs(b[i] - c[i]) for i in b) < 1e-6 and abs(report["gap"] - other["gap"]) < 1e-6
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """6000 short texts of mixed themes in two languages, and 3000 copies of one text."""
+    rng = np.random.default_rng(3)
+    theme = [[f"w{rng.integers(0, 4000)}" for _ in range(60)] for _ in range(12)]
+    texts = [" ".join(str(w) for k in rng.integers(0, 12, 2) for w in rng.choice(theme[k], 15)) for _ in range(6000)]
+    rows = [(i, t, ("en", None)[i % 3 == 0], "s") for i, t in enumerate(texts)] + [(6000 + i, "a copy " * 9, "en", "s") for i in range(3000)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+
+
+def off_centre(docs, topics):
+    """How many different texts are not in the topic whose members' mean is nearest (mean over all rows, less their language's)."""
+    from tokenizers import Tokenizer
+
+    rows = {(r.text, r.lang): topics[r.doc_id] for r in docs.collect()}
+    x = np.zeros((len(rows), mixing.BUCKETS))
+    for v, one in zip(x, Tokenizer.from_file(PATH).encode_batch([t for t, _ in rows], add_special_tokens=False), strict=True):
+        np.add.at(v, [(i * 0x9E3779B97F4A7C15 % 2**64 >> 40) % mixing.BUCKETS for i in one.ids], 1)
+    x = np.log1p(x)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    at = np.array(list(rows.values()))
+    for lang in {k for _, k in rows}:
+        here = [k == lang for _, k in rows]
+        x[here] -= x[here].mean(axis=0)
+    names = sorted(set(at))
+    away = np.stack([((x - x[at == k].mean(axis=0)) ** 2).sum(axis=1) for k in names], axis=1)
+    assert len(names) == mixing.TOPICS
+    return int((away[range(len(at)), [names.index(k) for k in at]] > away.min(axis=1) + 1e-3).sum())
+
+
+def test_topics_are_fitted_on_every_row(many):
+    assert off_centre(many, {r.doc_id: r.topic for r in mixing.assign(many, PATH).collect()}) == 0
+
+
 def test_shards(docs):
     rows = sharding.shard(docs, ["lang", "source", "n_chars"]).toPandas()
     sizes = rows.groupby("shard").size()
