@@ -235,6 +235,17 @@ def test_topics_are_fitted_on_every_row(many):
     assert off_centre(many, {r.doc_id: r.topic for r in mixing.assign(many, PATH).collect()}) == 0
 
 
+def test_topics_of_the_pipeline_are_fitted_on_every_row(spark, many, monkeypatch):
+    """The rows that the pipeline's stage makes, with text and further columns, before it samples."""
+    import corpus_pipeline
+
+    made, real = [], mixing.described
+    monkeypatch.setattr(mixing, "described", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    kept = corpus_pipeline.mix(spark, many.withColumn("vector", F.lit("x")), "")
+    assert kept.columns == [*many.columns, "vector"] and 0 < kept.count() < many.count()
+    assert off_centre(many, {r.doc_id: r.topic for r in made[0].collect()}) == 0
+
+
 def test_shards(docs):
     rows = sharding.shard(docs, ["lang", "source", "n_chars"]).toPandas()
     sizes = rows.groupby("shard").size()
