@@ -32,7 +32,8 @@ from quillcast.llm.common import Lean, materialize, ranked
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_PIECES = 400_000
+#: The byte-pair encoder fails on a run of a million blanks; texts longer than this are cut into pieces for it, and a longer piece goes to the tokenizer.
+USUAL_CHARS = 500_000
 #: Pieces of the byte-level BPE (fixed value of the public GPT-2 vocabulary), and the same for texts of usual characters.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 USUAL_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
@@ -47,39 +48,37 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Encoder(dict):
-    """Piece -> its ids as little-endian unsigned 32-bit bytes, remembered up to a bound.
+class Encoder:
+    """Text -> its ids as little-endian unsigned 32-bit bytes.
 
-    Whole texts go to the tokenizer; single pieces to a byte-pair encoder made from the same vocabulary, whose ids are
-    the ranks of its merges, since that starts faster for a few letters.
+    Texts of usual characters go to a byte-pair encoder made from the same vocabulary, whose ids are the ranks of its merges, since that
+    takes less time; others to the tokenizer. Nothing is remembered from text to text.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.pieces, self.unusual = re.compile(USUAL_PIECES).findall, re.compile(UNUSUAL).search
         letters = _byte_letters()
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         ranks = {bytes(letters[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if token not in special}
-        self.piece_ids = tiktoken.Encoding("pieces", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.usual_ids = tiktoken.Encoding("pieces", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > CACHE_PIECES:
-            self.clear()
-        ids = self[piece] = array("I", self.piece_ids(piece)).tobytes()
-        return ids
+    def usual(self, text: str) -> bytes:
+        return array("I", self.usual_ids(text)).tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.unusual(text):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, self.pieces(text)))
+        if len(text) <= USUAL_CHARS:
+            return self.usual(text)
+        return b"".join(self.usual(p) if len(p) <= USUAL_CHARS else self.whole(p) for p in self.pieces(text))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -145,6 +146,22 @@ def test_components_of_a_long_chain(spark):
     assert {r.comp for r in graph.components(e).collect()} == {0}
 
 
+def test_encoder_agrees_with_the_tokenizer_and_keeps_nothing():
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    rng, parts = np.random.default_rng(4), ["a", "B", "\u00e9", "1", " ", "  ", "\n", "\t", ".", "!!", "'s", "'ll", "_", "\u201c", "the ", "\u65e5", "<|endoftext|>"]
+    plain.encode_special_tokens = True
+    some = ["".join(parts[i] for i in rng.integers(0, len(parts), 20)) for _ in range(2000)]
+    for t in [*some, "a" + " " * 1_200_000 + "b", "one and two, " * 50_000]:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    tracemalloc.start()
+    for i in range(20_000):
+        encoder.encode(f"x{i}y of")
+    assert tracemalloc.get_traced_memory()[0] < 200_000
+    tracemalloc.stop()
+
+
 def test_packing_round_trip(docs, spark):
     from tokenizers import Tokenizer
 
