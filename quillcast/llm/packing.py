@@ -36,6 +36,8 @@ END_ID = 0
 USUAL_CHARS = 500_000
 #: Pieces of the byte-level BPE (fixed value of the public GPT-2 vocabulary), and the same for texts of usual characters.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Where no two blanks meet, the first are the same without their lookahead, which takes less time.
+PLAIN_PIECES = PIECES.replace(r"\s+(?!\S)|", "")
 USUAL_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 #: Outside these characters, engines may differ in what a letter, a number or a space is; such texts go to the tokenizer whole.
 UNUSUAL = r"[^\t\n\r\x20-\x7E¡-©«-±´-¸»¿-ſ‐-‧]"
@@ -65,13 +67,15 @@ class Encoder:
         letters = _byte_letters()
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         ranks = {bytes(letters[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if token not in special}
-        self.usual_ids = tiktoken.Encoding("pieces", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.usual_ids, self.plain_ids = (tiktoken.Encoding("pieces", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for p in (PIECES, PLAIN_PIECES))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def usual(self, text: str) -> bytes:
-        return array("I", self.usual_ids(text)).tobytes()
+        # tabs and carriage returns are rare, and usual characters have no other blanks
+        runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\t" in text or "\r" in text
+        return array("I", (self.usual_ids if runs else self.plain_ids)(text)).tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.unusual(text):

@@ -162,6 +162,19 @@ def test_encoder_agrees_with_the_tokenizer_and_keeps_nothing():
     tracemalloc.stop()
 
 
+def test_plain_pieces_are_used_where_no_blanks_meet():
+    encoder = packing.Encoder(PATH)
+    both = encoder.usual_ids, encoder.plain_ids
+    for t in ["", " ", "\n", "a", " it's 5 o'clock, \u00e9t\u00e9 _x_ \u2013 !! a\nb. ", "'s'll\n'd"]:
+        assert both[0](t) == both[1](t)
+    encoder.usual_ids = None
+    for t, alone in [(" a b\nc\n", True), ("a  b", False), ("a \nb", False), ("a\n b", False), ("a\n\nb", False), ("a\tb", False), ("a\r\nb", False)]:
+        try:
+            assert encoder.encode(t) == np.array(both[0](t), "<u4").tobytes() and alone
+        except TypeError:
+            assert not alone
+
+
 def test_packing_round_trip(docs, spark):
     from tokenizers import Tokenizer
 
