@@ -3,6 +3,7 @@
 import io
 import math
 import random
+import re
 import wave
 import zipfile
 from collections import Counter
@@ -285,6 +286,40 @@ def test_hybrid_classifier_is_plain_tf_idf_and_logistic_regression(spark, tmp_pa
     assert np.allclose([got[k] for k in range(50)], 1 / (1 + np.exp(-(kernel @ a + b))), atol=1e-3)
 
 
+def test_grams_are_counted_as_plain_strings_are(monkeypatch):
+    rng = random.Random(3)
+    texts = [None, "", " \n", "a", "Ab  ab\u2003É\x1cx", "ж ёж", "x\U0001f600y x\U0001f600y"] + [" ".join("".join(rng.choice("abcdeж\u4e2d") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    texts += ["".join(map(chr, range(0x4E00, 0x4E00 + 6300))), "".join(map(chr, range(0x4E00 + 3000, 0x4E00 + 9100)))]  # more letters than digits, in one text and in two
+    monkeypatch.setattr(classifier, "HELD_TERMS", 300)
+    plain = [Counter(f" {w} "[i : i + n] for w in re.findall(r"[^ \n\u2003]+", (t or "").lower()) for n in (3, 4, 5) for i in range(len(w) + 3 - n)) for t in texts]
+    counts, tf, df = classifier.Counts(), Counter(), Counter()
+    sent = [x for t in texts for x in counts.add(t)] + counts.taken()
+    for terms, a, b in sent:
+        tf.update(dict(zip(terms, a.tolist(), strict=True)))
+        df.update(dict(zip(terms, b.tolist(), strict=True)))
+    assert len(sent) > 3 and tf == sum(plain, Counter()) and df == Counter(g for c in plain for g in c)
+    for terms in ([g for g in tf if df[g] > 1], [g for g in tf if not set(g) & set("abc")]):  # the second has too many letters
+        look_up, known = classifier.Vocabulary(terms), set(terms)
+        assert (look_up.ids is None) == (len(set("".join(terms))) < classifier.BASE - 1)
+        for t, c in zip(texts, plain, strict=True):
+            ids, n = look_up(t)
+            assert {terms[i]: k for i, k in zip(ids, n.tolist(), strict=True)} == {g: k for g, k in c.items() if g in known}
+
+
+def test_classifier_takes_terms_by_count_then_order_and_is_kept(spark, tmp_path):
+    rows = [(k, ("abcd" if k < 10 else "wxyz") + " tie uvw", float(k < 10), "s", 0.0, float(k % 2), [k]) for k in range(20)]
+    df = spark.createDataFrame(rows, "k int, text string, label double, context string, v1 double, v2 double, more array<int>")
+    model = classifier.fit(df, vocabulary=7)
+    # 20 of each of the six whose words are in every row, then 10 of each of the others
+    assert model.terms[0] == sorted(g for w in ("tie", "uvw") for g in classifier.char_ngrams(w))[:7] and model.terms[1] == [" s "]
+    model = classifier.fit(df)
+    classifier.save(model, f"{tmp_path}/m")
+    one, two = (sorted(map(tuple, classifier.score(m, df).select("k", "prob", "more").collect())) for m in (model, classifier.load(f"{tmp_path}/m")))
+    assert one == two and [p > 0.5 for _, p, _ in one] == [k < 10 for k in range(20)]
+    assert {r.prob for r in classifier.score(classifier.fit(df.filter("label = 1")), df).collect()} == {1.0}
+    assert dict(df.dtypes).items() <= dict(classifier.score(model, df).dtypes).items()
+
+
 def test_matching_carries_columns_and_names_bad_pairs(spark):
     rng = random.Random(5)
     told = [" ".join("".join(rng.choice("абвгдежз") for _ in range(6)) for _ in range(30)) for _ in range(4)]
