@@ -100,10 +100,19 @@ def middle_paragraph(paragraphs: Column, least: int = 120, most: int = 350, floo
     return F.substring(F.coalesce(_longest(handy), _longest(usable)), 1, cut)
 
 
-def safe_name(c: Column) -> Column:
-    """A file name: other characters than digits and basic Latin or Cyrillic letters become one underscore."""
-    plain = F.regexp_replace(c, "[^0-9a-zA-Zа-яА-Я]+", "_")
-    return F.right(F.regexp_replace(plain, "^_+|_+$", ""), F.lit(150))
+def safe_name(c: Column, tail: int = 400) -> Column:
+    """A file name: other characters than digits and basic Latin or Cyrillic letters become one underscore.
+
+    Of a longer name the last 150 characters are left. The text's end has them as a rule; where it hasn't, the whole text is rewritten.
+    """
+
+    def plain(x: Column) -> Column:
+        return F.btrim(F.regexp_replace(x, "[^0-9a-zA-Zа-яА-Я]+", "_"), F.lit("_"))
+
+    # bound by a lambda and cut by substring, because right() and repeated columns are computed more than once
+    end = F.array(plain(F.substring(c, -tail, tail)))
+    whole = F.transform(end, lambda x: F.when((F.length(c) <= tail) | (F.length(x) >= 150), x).otherwise(plain(c)))
+    return F.substring(whole[0], -150, 150)
 
 
 def tidy(c: Column) -> Column:

@@ -4,6 +4,7 @@ import io
 import math
 import random
 import re
+import time
 import wave
 import zipfile
 from collections import Counter
@@ -286,6 +287,23 @@ def test_hybrid_classifier_is_plain_tf_idf_and_logistic_regression(spark, tmp_pa
     assert np.allclose([got[k] for k in range(50)], 1 / (1 + np.exp(-(kernel @ a + b))), atol=1e-3)
 
 
+def test_safe_name_reads_the_end_and_the_whole_where_it_must(spark):
+    rng = random.Random(8)
+    texts = [None, "", "_", "a", "ab" * 400, "x" * 149 + "!" * 400, "x" * 150 + "!" * 250, "x" * 151 + "!" * 249, "début" + "!" * 3000 + "fin", "я" * 500 + "_" * 1000, "\U0001f600a" * 500, "?" * 900, "a" + "?" * 399, "a" + "?" * 400]
+    texts += ["".join(rng.choice("aЖ0" + "_ é!" * rng.choice((1, 30))) for _ in range(rng.randint(1, 1500))) for _ in range(300)]
+    got = {r.t: r.safe for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.safe_name(F.col("t")).alias("safe")).collect()}
+    assert got == {t: t if t is None else re.sub("[^0-9a-zA-Zа-яА-Я]+", "_", t).strip("_")[-150:] for t in texts}
+
+    def seconds(name):
+        long = spark.range(1000).select(F.concat(F.repeat(F.lit("ab cd, "), 3000), F.col("id").cast("string")).alias("t"))
+        began = time.perf_counter()
+        long.select(name).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    # of texts with a long name, most is not rewritten
+    assert min(seconds(text.safe_name(F.col("t"))) for _ in range(2)) < seconds(F.regexp_replace("t", "[^0-9a-zA-Zа-яА-Я]+", "_"))
+
+
 def test_grams_are_counted_as_plain_strings_are(monkeypatch):
     rng = random.Random(3)
     texts = [None, "", " \n", "a", "Ab  ab\u2003É\x1cx", "ж ёж", "x\U0001f600y x\U0001f600y"] + [" ".join("".join(rng.choice("abcdeж\u4e2d") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 60))) for _ in range(60)]
