@@ -6,11 +6,15 @@ import re
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillcast.functions.text import NOBODY, strip, tidy
 
+#: Characters of kept words (50 more a word) and of texts that a task holds beside its batch. No result depends on them.
+KEPT_CHARS, SLICE_CHARS = 3_000_000, 500_000
+
 
 class Lemmatizer(Protocol):
     def __call__(self, word: str) -> str: ...
@@ -44,28 +48,40 @@ def remove_exact(text: Column, names: Column) -> Column:
 
 
 def remove_lemmas(df: DataFrame, text: str, names: str, lemmatizer: Lemmatizer = suffix_lemma) -> DataFrame:
-    """Words whose lemma is that of a word of a name become spaces, by Arrow batches."""
+    """Words whose lemma is that of a word of a name become spaces, by slices of Arrow batches."""
 
     def run(batches):
         cache: dict[str, str] = {}
+        chars = 0
 
         def lemma(w: str) -> str:
+            nonlocal chars
             if w not in cache:
-                if len(cache) > 200_000:
+                if chars > KEPT_CHARS:
                     cache.clear()
+                    chars = 0
                 cache[w] = lemmatizer(w)
+                chars += len(w) + 50
             return cache[w]
 
+        def without(t: str | None, ns: list[str | None] | None) -> str | None:
+            gone = {lemma(w) for n in ns or [] for w in word.findall(n)}
+            return t if t is None or not gone else word.sub(lambda m: " " if lemma(m[0]) in gone else m[0], t)
+
         word = re.compile(r"\w+")
-        for pdf in batches:
-            out = []
-            for t, ns in zip(pdf[text], pdf[names], strict=True):
-                gone = {lemma(w) for n in (ns if ns is not None else []) for w in word.findall(n)}
-                out.append(t if t is None or not gone else word.sub(lambda m, gone=gone: " " if lemma(m[0]) in gone else m[0], t))
-            pdf[text] = out
-            yield pdf
-
-    return df.mapInPandas(run, df.schema)
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            texts, sets = batch.column(at), batch.column(batch.schema.get_field_index(names))
+            since, held, out = 0, 0, []
+            for k in range(batch.num_rows):
+                out.append(without(texts[k].as_py(), sets[k].as_py()))
+                held += len(out[-1] or "") + 1
+                if held >= SLICE_CHARS or k == batch.num_rows - 1:
+                    own = batch.slice(since, k + 1 - since)
+                    yield pa.RecordBatch.from_arrays([pa.array(out, texts.type) if i == at else c for i, c in enumerate(own.columns)], schema=batch.schema)
+                    since, held, out = k + 1, 0, []
+
+    return df.mapInArrow(run, df.schema)
 
 
 def anonymize(df: DataFrame, lemmatizer: Lemmatizer | None = suffix_lemma, description: str = "description", character: str = "character") -> DataFrame:

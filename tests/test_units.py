@@ -304,6 +304,22 @@ def test_safe_name_reads_the_end_and_the_whole_where_it_must(spark):
     assert min(seconds(text.safe_name(F.col("t"))) for _ in range(2)) < seconds(F.regexp_replace("t", "[^0-9a-zA-Zа-яА-Я]+", "_"))
 
 
+def test_lemmas_are_removed_by_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    taken = {}
+    monkeypatch.setattr(names, "SLICE_CHARS", 100)
+    df = spark.createDataFrame([("x", ["x"], 1)], "t string, ns array<string>, more int")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: taken.setdefault("run", run))
+    names.remove_lemmas(df, "t", "ns")
+    rows = [("Иваном сказал ivan", ["Иван"], k) for k in range(50)] + [(None, ["Иван"], 50), ("Иван", None, 51), ("Иван", [], 52), ("", ["a"], 53)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.list_(pa.string()), pa.int32()))], ["t", "ns", "more"])
+    out = list(taken["run"](iter([batch, batch.slice(0, 0)])))
+    # a batch isn't held twice over: it goes back in pieces, with its other columns as they were
+    assert len(out) > 5 and all(sum(len(t or "") for t in b.column(0).to_pylist()) < 200 for b in out)
+    assert [r for b in out for r in b.to_pylist()] == [{"t": "  сказал ivan" if k < 50 else t, "ns": n, "more": k} for t, n, k in rows]
+
+
 def test_grams_are_counted_as_plain_strings_are(monkeypatch):
     rng = random.Random(3)
     texts = [None, "", " \n", "a", "Ab  ab\u2003É\x1cx", "ж ёж", "x\U0001f600y x\U0001f600y"] + [" ".join("".join(rng.choice("abcdeж\u4e2d") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 60))) for _ in range(60)]
